@@ -18,8 +18,24 @@ CLICK_COLUMNS = [
 ]
 
 
-def schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+EVENT_PROPERTIES = T.StructType().add("product_type", T.StringType()).add("tags", T.ArrayType(T.StringType()))
+
+TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "event_properties": EVENT_PROPERTIES,
+}
+
+
+def schema(columns: str) -> T.StructType:
+    """A schema from "name type, ..."; unlike the DDL parser this needs no session at import."""
+    fields = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in fields])
 
 
 def _index(suffix: str) -> str:
@@ -49,7 +65,7 @@ SCHEMAS = {
     "churn_score_snapshot": schema("member_id bigint, base_date date, churn_score int, risk_level string"),
     "customer_event_logs_raw": schema(
         "member_id bigint, event_name string, timestamp string, "
-        "event_properties struct<product_type: string, tags: array<string>>, dt string"
+        "event_properties event_properties, dt string"
     ),
     "user_event_features_7d": schema(
         "snapshot_date date, member_id bigint, "
