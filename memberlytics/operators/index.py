@@ -15,6 +15,7 @@ from memberlytics.operators.ranking import latest_by
 from memberlytics.operators.subscriptions import (
     catalogued_subscriptions,
     index_rollup,
+    mobile_subscriptions,
     product_catalog,
     sharing_used,
 )
@@ -32,12 +33,13 @@ def index_features(tables: Mapping[str, DataFrame], params: RunParams, strict_in
     """Every member with all inputs of the six indices; a missing input is null."""
     catalog = product_catalog(tables["product"], tables["mobile_plan"], tables["addon_service"])
     catalogued = catalogued_subscriptions(tables["subscription"], catalog, params.as_of)
+    mobile = mobile_subscriptions(tables["subscription"], tables["product"], params.as_of)
     members = with_family_size(base_members(tables["member"]), family_counts(tables["member"]))
     return assemble(
         members,
         [
             index_rollup(catalogued, strict_integer_guard),
-            sharing_used(catalogued, tables["usage_monthly"], params.yyyymm, strict_integer_guard),
+            sharing_used(mobile, tables["usage_monthly"], params.yyyymm, strict_integer_guard),
             coupon_7d(tables["member_coupon"], params.as_of),
             support_monthly(tables["support_case"], params.yyyymm),
             billing_monthly(tables["billing"], params.yyyymm),

@@ -27,37 +27,33 @@ def join_lookup(
     spread_by: str | None = None,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join `rows` to `lookup` (unique on `key`): broadcast if it measures small, else `join_hot_keys`."""
+    """Join `rows` to `lookup` (unique on `key`): broadcast if it measures small, else hot keys apart."""
     if measured_bytes(lookup) <= max_bytes:
         return rows.join(F.broadcast(lookup), key, how)
-    return join_hot_keys(rows, lookup, key, spread_by, how)
+    hot = lookup.join(F.broadcast(hot_keys(rows, key)), key, "left_semi")
+    return join_hot_apart(rows, lookup, hot, key, spread_by, how)
 
 
-def join_hot_keys(
-    rows: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    spread_by: str,
-    how: str = "left",
-    rows_per_key: DataFrame | None = None,
+def hot_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Keys that hold at least HOT_SHARE of all keyed rows; counted with map-side combining."""
+    keyed = rows.where(F.col(key).isNotNull()).select(key)
+    total = keyed.select(F.count(F.lit(1))).scalar()
+    per_key = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.where(F.col("n") >= total * F.lit(HOT_SHARE)).select(key)
+
+
+def join_hot_apart(
+    rows: DataFrame, lookup: DataFrame, hot: DataFrame, key: str, spread_by: str, how: str = "left"
 ) -> DataFrame:
     """Join `rows` to `lookup` (unique on `key`) without sending a hot key's rows to one task.
 
-    The lookup rows of hot keys number at most 1 / HOT_SHARE whatever the data, so these alone are
-    broadcast. All other rows meet the rest of the lookup in a shuffled join. Rows already served,
-    and rows without a key, pass through that join spread by `spread_by` under a flag nothing
-    matches, so that they do not pile up in the null partition either.
-
-    `rows_per_key` (`key`, `n`) is counted from `rows` unless it is given.
+    `hot` is the part of the lookup whose keys are hot: at most 1 / HOT_SHARE rows whatever the
+    data, so it is broadcast. All other rows meet the lookup in a shuffled join. Rows already
+    served, and rows without a key, pass through that join spread by `spread_by` under a flag
+    nothing matches, so that they do not pile up in the null partition either.
     """
     values = [c for c in lookup.columns if c != key]
-    if rows_per_key is None:
-        rows_per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    rows_per_key = rows_per_key.where(F.col(key).isNotNull())
-    total = rows_per_key.select(F.sum("n")).scalar()
-    hot_keys = rows_per_key.where(F.col("n") >= total * F.lit(HOT_SHARE)).select(key)
-
-    hot = lookup.join(F.broadcast(hot_keys), key, "left_semi").select(key, F.struct(*values).alias("_hot"))
+    hot = hot.select(key, F.struct(*values).alias("_hot"))
     rest = lookup.select(F.lit(True).alias("_open"), F.col(key).alias("_key"), F.struct(*values).alias("_rest"))
 
     served = rows.join(F.broadcast(hot), key, "left")

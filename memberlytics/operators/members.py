@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memberlytics.operators.lookups import join_hot_keys
+from memberlytics.operators.lookups import HOT_SHARE, join_hot_apart
 
 
 def base_members(member: DataFrame) -> DataFrame:
@@ -28,5 +28,6 @@ def family_counts(member: DataFrame) -> DataFrame:
 
 def with_family_size(members: DataFrame, counts: DataFrame) -> DataFrame:
     """Attach `family_member_cnt`. The counts themselves tell which groups are hot."""
-    weights = counts.select("family_group_id", F.col("family_member_cnt").alias("n"))
-    return join_hot_keys(members, counts, "family_group_id", spread_by="member_id", rows_per_key=weights)
+    total = counts.select(F.sum("family_member_cnt")).scalar()
+    hot = counts.where(F.col("family_member_cnt") >= total * F.lit(HOT_SHARE))
+    return join_hot_apart(members, counts, hot, "family_group_id", spread_by="member_id")

@@ -36,6 +36,13 @@ def active_subscriptions(subscription: DataFrame, product: DataFrame, as_of: dat
     return join_lookup(live, products, "product_id", spread_by="subscription_id")
 
 
+def mobile_subscriptions(subscription: DataFrame, product: DataFrame, as_of: date) -> DataFrame:
+    """Live mobile plan subscriptions, ids only."""
+    mobile = product.where(is_type("MOBILE_PLAN")).select("product_id", "product_type")
+    live = live_subscriptions(subscription, as_of).select("subscription_id", "member_id", "product_id")
+    return join_lookup(live, mobile, "product_id", spread_by="subscription_id")
+
+
 def product_catalog(product: DataFrame, mobile_plan: DataFrame, addon_service: DataFrame | None = None) -> DataFrame:
     """One row per product with its plan and add-on details, so that subscriptions meet the
     dimensions in a single join. Detail tables are unique on `product_id`."""
