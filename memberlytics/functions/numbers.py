@@ -11,7 +11,8 @@ WHOLE_NUMBER = r"^[0-9]+\z"
 PLAIN_NUMBER = r"^[0-9]+(\.[0-9]+)?\z"
 GIGABYTES = r"^[0-9]+(\.[0-9]+)?GB\z"
 NOT_DIGIT_OR_DOT = "[^0-9.]"
-JSON_OBJECT = r"^\s*\{"
+# The JSON reader renders small and large JSON numbers in this form.
+EXPONENT_FORM = r"^[0-9]+\.[0-9]+E-?[0-9]+\z"
 
 # Byte resolution for GB quantities; the quotient of two keeps 15 fraction digits, so the usage
 # thresholds are compared exactly.
@@ -39,8 +40,13 @@ def parse_allowance(text: Column) -> Column:
 
 def json_number(document: Column, field: str, number_type: str = GB_TYPE, whole_only: bool = False) -> Column:
     """A numeric field of a JSON object; null when the document is no object or the value no number."""
-    text = F.when(document.rlike(JSON_OBJECT), F.get_json_object(document, f"$.{field}"))
-    return guarded_number(text, number_type, whole_only)
+    text = F.from_json(document, f"{field} string")[field]
+    plain = guarded_number(text, number_type, whole_only)
+    if whole_only:
+        return plain
+    # Read as a double, a text that only looks like an exponent form is null.
+    number = F.from_json(document, f"{field} double")[field].try_cast(number_type)
+    return F.when(text.rlike(EXPONENT_FORM), number).otherwise(plain)
 
 
 def count_tags_in(tags_json: Column, wanted: list[str]) -> Column:
