@@ -25,7 +25,6 @@ from memberlytics.operators.dispatch import (
     claim_outbox,
     last_analysis_id,
     new_analyses,
-    register_dispatch,
     request_id,
     unseeded_cases,
 )
@@ -115,7 +114,8 @@ def run_dispatch(
         rounds += 1
 
     claimed = claim_analyses(insert_ignore(analyses, seeds, ["case_id", "analyzer_version"]), picks, job, now)
-    registered = register_dispatch(claim_outbox(outbox, picks, job, now), picks, job, now)
+    # The claim has left every picked request registered and open, so all of them are sent.
+    registered = claim_outbox(outbox, picks, job, now)
     return Drained(claimed, apply_results(registered, results, now, max_attempts), rounds)
 
 
