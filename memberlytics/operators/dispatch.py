@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from memberlytics.functions.dates import timestamp_literal
 from memberlytics.operators.merging import insert_ignore, upsert_columns
 from memberlytics.operators.ranking import order_limit
-from memberlytics.schemas import SCHEMAS
 
 # Outbox type and states, defaults of the job, and the retry policy.
 REQUEST = "REQUEST"
@@ -280,7 +279,3 @@ def dispatch_counts(plan: DispatchPlan, results: DataFrame) -> DataFrame:
     tally = results.select(F.count_if("ok").alias("published"), F.count_if(~F.col("ok")).alias("retried"))
     skipped = plan.skipped.select(F.count(F.lit(1))).scalar()
     return tally.select("published", skipped.alias("skipped"), "retried")
-
-
-def empty_outbox(spark) -> DataFrame:
-    return spark.createDataFrame([], SCHEMAS["analysis_dispatch_outbox"])

@@ -30,12 +30,13 @@ from memberlytics.operators.dispatch import (
 )
 from memberlytics.operators.merging import insert_ignore
 from memberlytics.operators.ranking import order_limit
-from memberlytics.schemas import SCHEMAS
+from memberlytics.schemas import SCHEMAS, schema
 from memberlytics.sources.messages import to_request_messages
-from memberlytics.sources.versions import read_replaced, replace_table, shared_folder
+from memberlytics.sources.versions import empty_table, read_replaced, replace_table, shared_folder
 
 ANALYSES, OUTBOX = "consultation_analysis", "analysis_dispatch_outbox"
 
+RESULTS = schema("request_id string, ok boolean, error string")
 # Messages in; one row per request (`request_id`, `ok`, `error`) out.
 Deliver = Callable[[DataFrame], DataFrame]
 
@@ -79,9 +80,9 @@ def run_dispatch(
 
     waiting = stored(backlog(analyses, outbox, version, now, lease_sec).orderBy("analysis_id"), "backlog")
     unseeded = stored(unseeded_cases(support_case, analyses, version).orderBy("case_id"), "unseeded")
-    seeds = spark.createDataFrame([], SCHEMAS[ANALYSES])
+    seeds = empty_table(spark, SCHEMAS[ANALYSES])
     picks = waiting.limit(0).withColumn("claim_token", F.lit(0).cast("bigint"))
-    results = spark.createDataFrame([], "request_id string, ok boolean, error string")
+    results = empty_table(spark, RESULTS)
 
     last_id = last_analysis_id(analyses).first()["last_id"]
     rounds, last_case, last_analysis = 0, None, None
@@ -92,7 +93,9 @@ def run_dispatch(
         pool = waiting.unionByName(earlier.select(waiting.columns))
         if last_analysis is not None:
             pool = pool.where(F.col("analysis_id") > last_analysis)
-        picked = order_limit(pool, "analysis_id", chunk).withColumn("claim_token", F.lit(token).cast("bigint"))
+        # The limit leaves one partition; a large chunk is spread again for its delivery.
+        picked = order_limit(pool, "analysis_id", chunk).repartition("request_id")
+        picked = picked.withColumn("claim_token", F.lit(token).cast("bigint"))
 
         next_cases = unseeded if last_case is None else unseeded.where(F.col("case_id") > last_case)
         next_cases = order_limit(next_cases, "case_id", chunk)
@@ -125,6 +128,6 @@ def run_stored_dispatch(support_case: DataFrame, store: str, deliver: Deliver, *
     spark = support_case.sparkSession
     state = [read_replaced(spark, f"{store}/{name}", SCHEMAS[name]) for name in (ANALYSES, OUTBOX)]
     drained = run_dispatch(support_case, *state, deliver, **settings)
-    replace_table(drained.outbox, f"{store}/{OUTBOX}")
-    replace_table(drained.analyses, f"{store}/{ANALYSES}")
-    return drained
+    outbox = replace_table(drained.outbox, f"{store}/{OUTBOX}")
+    analyses = replace_table(drained.analyses, f"{store}/{ANALYSES}")
+    return Drained(analyses, outbox, drained.rounds)

@@ -7,9 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from memberlytics.operators.events import build_event_features
 from memberlytics.operators.quality import check_not_empty, require_not_empty
 from memberlytics.params import RunParams
-from memberlytics.schemas import SCHEMAS
 from memberlytics.sources.event_logs import scan_event_logs
-from memberlytics.sources.versions import read_snapshots, replace_snapshot
+from memberlytics.sources.versions import replace_snapshot
 
 TABLE = "user_event_features_7d"
 
@@ -21,8 +20,7 @@ def run_event_features(spark: SparkSession, log_path: str, store: str, params: R
 
 def store_event_features(events: DataFrame, store: str, params: RunParams) -> DataFrame:
     """Build from events already limited to the scan window; returns the stored snapshot."""
-    root = f"{store}/{TABLE}"
-    replace_snapshot(build_event_features(events, params.as_of, ordered=False), root, params.as_of)
-    stored = read_snapshots(events.sparkSession, root, SCHEMAS[TABLE], params.as_of)
+    built = build_event_features(events, params.as_of, ordered=False)
+    stored = replace_snapshot(built, f"{store}/{TABLE}", params.as_of)
     require_not_empty(check_not_empty(stored, params.as_of), "event feature")
     return stored

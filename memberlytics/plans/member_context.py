@@ -33,8 +33,7 @@ def run_member_context(
     require_unique(built, ["member_id"])
 
     current = read_replaced(spark, root, SCHEMAS[TABLE])
-    replace_table(upsert_by_key(current, built, ["member_id"]), root)
-    stored = read_replaced(spark, root, SCHEMAS[TABLE])
+    stored = replace_table(upsert_by_key(current, built, ["member_id"]), root)
     if check:
         require_member_context(check_member_context(tables["subscription"], tables["product"], stored, built))
     return stored

@@ -7,17 +7,18 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from memberlytics.operators.index import build_persona_snapshot, build_raw_snapshot, build_tscore_snapshot
+from memberlytics.operators.merging import require_unique
 from memberlytics.operators.quality import (
     PERSONA_COLUMNS,
     TSCORE_COLUMNS,
+    CheckFailed,
     check_index_counts,
     check_nulls,
     require_index_counts,
     require_no_nulls,
 )
 from memberlytics.params import RunParams
-from memberlytics.schemas import SCHEMAS
-from memberlytics.sources.versions import read_snapshots, replace_snapshot
+from memberlytics.sources.versions import replace_snapshot
 
 
 def run_weekly_index(
@@ -25,17 +26,20 @@ def run_weekly_index(
 ) -> dict[str, DataFrame]:
     """Returns the stored snapshots by table name."""
     as_of = params.as_of
-    spark = tables["member"].sparkSession
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        replace_snapshot(df, f"{store}/{name}", as_of)
-        return read_snapshots(spark, f"{store}/{name}", SCHEMAS[name], as_of)
+        return replace_snapshot(df, f"{store}/{name}", as_of)
 
     raw = stored(build_raw_snapshot(tables, params, strict_integer_guard), "index_raw_snapshot")
     tscores = stored(build_tscore_snapshot(raw, as_of), "index_tscore_snapshot")
     persona = stored(build_persona_snapshot(tscores, tables["persona_type"], as_of), "index_persona_snapshot")
 
-    require_index_counts(check_index_counts(tables["member"], raw, tscores, persona, as_of))
+    try:
+        require_index_counts(check_index_counts(tables["member"], raw, tscores, persona, as_of))
+    except CheckFailed:
+        # A second bill of the month repeats its member: name one such member if that is the cause.
+        require_unique(raw, ["member_id"])
+        raise
     require_no_nulls(check_nulls(tscores, TSCORE_COLUMNS, as_of), "T-score")
     require_no_nulls(check_nulls(persona, PERSONA_COLUMNS, as_of), "persona")
     return {"index_raw_snapshot": raw, "index_tscore_snapshot": tscores, "index_persona_snapshot": persona}

@@ -51,6 +51,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _current(spark: SparkSession, root: str) -> dict[str, tuple[int, str]]:
     """Newest (seq, version) of every part. Pointers are one short row per publication."""
     try:
@@ -59,42 +63,61 @@ def _current(spark: SparkSession, root: str) -> dict[str, tuple[int, str]]:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return {}
-    newest = pointers.groupBy("part").agg(F.max(F.struct("seq", "version")).alias("last")).collect()
-    return {row.part: (row.last.seq, row.last.version) for row in newest}
+    newest: dict[str, tuple[int, str]] = {}
+    for seq, part, version in pointers.collect():
+        newest[part] = max(newest.get(part, (0, "")), (seq, version))
+    return newest
 
 
-def _publish(df: DataFrame, root: str, part: str) -> None:
+def _publish(df: DataFrame, root: str, part: str) -> str:
+    """Write `df` as a new version, make it current, and return its folder."""
     spark = df.sparkSession
     seq = 1 + max((seq for seq, _ in _current(spark, root).values()), default=0)
     version = f"{seq:09d}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(f"{root}/versions/version={version}" + (f"/snapshot_date={part}" if part else ""))
-    spark.createDataFrame([(seq, part, version)], POINTER).coalesce(1).write.mode("append").json(f"{root}/pointers")
+    path = f"{root}/versions/version={version}" + (f"/snapshot_date={part}" if part else "")
+    df.write.parquet(path)
+    pointer = spark.range(1).select(F.lit(seq).alias("seq"), F.lit(part).alias("part"), F.lit(version).alias("version"))
+    pointer.coalesce(1).write.mode("append").json(f"{root}/pointers")
+    return path
+
 
+def _read_parts(spark: SparkSession, root: str, schema: T.StructType, paths: list[str]) -> DataFrame:
+    reader = spark.read.schema(schema).option("basePath", f"{root}/versions")
+    return reader.parquet(*paths).select(schema.names)
 
-def replace_table(df: DataFrame, root: str) -> None:
-    """Make `df` the content of the table. `df` may read the table's current version."""
-    _publish(df, root, WHOLE_TABLE)
+
+def replace_table(df: DataFrame, root: str) -> DataFrame:
+    """Make `df` the content of the table, and return it as stored.
+
+    `df` may read the table's current version.
+    """
+    return df.sparkSession.read.schema(df.schema).parquet(_publish(df, root, WHOLE_TABLE))
 
 
 def read_replaced(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     current = _current(spark, root).get(WHOLE_TABLE)
     if current is None:
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     return spark.read.schema(schema).parquet(f"{root}/versions/version={current[1]}")
 
 
-def replace_snapshot(df: DataFrame, root: str, as_of: date) -> None:
-    """Replace the rows of one snapshot date; other dates stay. No rows leaves the date empty."""
+def replace_snapshot(df: DataFrame, root: str, as_of: date) -> DataFrame:
+    """Replace the rows of one snapshot date, and return them as stored.
+
+    Other dates stay. No rows leaves the date empty.
+    """
     rows = df.where(F.col("snapshot_date") == F.lit(as_of)).drop("snapshot_date")
-    _publish(rows, root, as_of.isoformat())
+    return _read_parts(df.sparkSession, root, df.schema, [_publish(rows, root, as_of.isoformat())])
+
+
+def has_snapshots(spark: SparkSession, root: str) -> bool:
+    return bool(_current(spark, root))
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: T.StructType, as_of: date | None = None) -> DataFrame:
     """All current snapshots, or the one of `as_of`, opening only their own folders."""
     current = _current(spark, root)
-    parts = [p for p in current if as_of is None or p == as_of.isoformat()]
+    parts = sorted(p for p in current if as_of is None or p == as_of.isoformat())
     if not parts:
-        return spark.createDataFrame([], schema)
-    paths = [f"{root}/versions/version={current[p][1]}/snapshot_date={p}" for p in sorted(parts)]
-    reader = spark.read.schema(schema).option("basePath", f"{root}/versions")
-    return reader.parquet(*paths).select(schema.names)
+        return empty_table(spark, schema)
+    return _read_parts(spark, root, schema, [f"{root}/versions/version={current[p][1]}/snapshot_date={p}" for p in parts])

@@ -64,13 +64,13 @@ def test_claimable_boundaries(spark):
 
 def test_other_versions_are_apart(spark):
     both = analyses(spark, [1, 2]).unionByName(analyses(spark, [1, 2, 3], version=2))
-    assert d.pickable(both, d.empty_outbox(spark), 1, NOW, 1800, 10).count() == 2
+    assert d.pickable(both, outbox(spark), 1, NOW, 1800, 10).count() == 2
     assert [r.case_id for r in d.seed_analyses(cases(spark, [1, 2, 3]), both, 1, 8, 10).collect()] == [3]
 
 
 def test_seeded_cases_wait_for_the_next_claim(spark):
     all_cases = cases(spark, [5, 3, 1, 4, 2])
-    first = d.claim_chunk(all_cases, analyses(spark, []), d.empty_outbox(spark), params(chunk=3))
+    first = d.claim_chunk(all_cases, analyses(spark, []), outbox(spark), params(chunk=3))
     assert first.claimed.count() == 0 and first.outbox.count() == 0
     assert sorted((r.analysis_id, r.case_id) for r in first.analyses.collect()) == [(1, 1), (2, 2), (3, 3)]
 

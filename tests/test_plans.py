@@ -6,13 +6,15 @@ from pyspark.sql import functions as F
 from checks.inputs import AS_OF, FEATURE_DATES, INDEX_DATES, NOW
 from checks.staging import EVENT_LOG, stage, staged
 from memberlytics.functions.scores import INDEX_CODES, SEGMENTS
-from memberlytics.operators.merging import duplicate_keys
+from memberlytics.operators.merging import DuplicateKeys, duplicate_keys
 from memberlytics.operators.quality import CheckFailed
 from memberlytics.params import RunParams, previous_month
+from memberlytics.plans import jobs
 from memberlytics.plans.event_features import run_event_features
 from memberlytics.plans.member_context import run_member_context
 from memberlytics.plans.weekly_index import run_weekly_index
 from memberlytics.schemas import SCHEMAS
+from memberlytics.sources.tables import MissingTables
 from memberlytics.sources.versions import read_replaced, read_snapshots
 
 
@@ -78,3 +80,34 @@ def test_context_is_merged(spark, world):
     # The mapped subscriptions include ended plans still switched on, which the check counts.
     with pytest.raises(CheckFailed):
         run_member_context(tables, store, run_of(AS_OF), NOW)
+
+
+def test_jobs_check_their_tables_first(spark, world, tmp_path):
+    root, store, tables = world
+    with pytest.raises(MissingTables, match="customer_event_logs_raw"):
+        jobs.event_features_job(spark, str(tmp_path), store, "2024-01-30")
+    with pytest.raises(MissingTables, match="internet$"):
+        jobs.weekly_index_job(spark, root, store, "2024-01-30")
+    with pytest.raises(MissingTables, match="user_event_features_7d, index_persona_snapshot, index_tscore_snapshot"):
+        jobs.member_context_job(spark, root, str(tmp_path), NOW, "2024-01-30")
+    with pytest.raises(ValueError):
+        jobs.member_context_job(spark, root, store, NOW, "30.01.2024")
+
+
+def test_jobs_run_from_folders(spark, world, tmp_path):
+    root, _, tables = world
+    store = str(tmp_path)
+    for name in ["internet", "iptv", "tab_watch_plan"]:
+        spark.range(1).write.mode("overwrite").parquet(f"{root}/{name}")
+    assert jobs.event_features_job(spark, root, store, "2024-01-30").count() > 0
+    found = jobs.weekly_index_job(spark, root, store, "2024-01-30")
+    expected = tables["index_persona_snapshot"].where(F.col("snapshot_date") == F.lit(AS_OF))
+    assert rows_of(found["index_persona_snapshot"]) == rows_of(expected)
+    assert jobs.member_context_job(spark, root, store, NOW, "2024-01-30", check=False).count() > 0
+
+
+def test_a_second_bill_is_named(spark, world, tmp_path):
+    _, _, tables = world
+    twice = tables["billing"].unionByName(tables["billing"].where("member_id = 11 AND yyyymm = '202312'"))
+    with pytest.raises(DuplicateKeys, match="'member_id': 11"):
+        run_weekly_index({**tables, "billing": twice}, str(tmp_path), run_of(AS_OF))
