@@ -27,6 +27,7 @@ from memberlytics.plans.event_features import run_event_features
 from memberlytics.plans.member_context import run_member_context
 from memberlytics.plans.weekly_index import run_weekly_index
 from memberlytics.schemas import SCHEMAS
+from memberlytics.session import tuned
 from memberlytics.sources.event_logs import scan_event_logs
 from memberlytics.sources.versions import read_snapshots
 
@@ -42,11 +43,11 @@ def run_of(day) -> RunParams:
 def main() -> None:
     work = tempfile.mkdtemp(prefix="bench-")
     spark = (
-        SparkSession.builder.master(f"local[{CPUS}]")
+        tuned(SparkSession.builder)
+        .master(f"local[{CPUS}]")
         .appName("bench")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", CPUS)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", f"{work}/shared")
