@@ -113,8 +113,11 @@ def main() -> None:
             )
         ),
     }
+    only = os.environ.get("BENCH_ONLY")
     seconds = {}
     for name, action in timed.items():
+        if only and name not in only.split(","):
+            continue
         action()
         laps = []
         for _ in range(RUNS):

@@ -38,9 +38,20 @@ def parse_allowance(text: Column) -> Column:
     return F.when(text.rlike(GIGABYTES), F.regexp_replace(text, r"GB\z", "").try_cast(GB_TYPE))
 
 
-def json_number(document: Column, field: str, number_type: str = GB_TYPE, whole_only: bool = False) -> Column:
-    """A numeric field of a JSON object; null when the document is no object or the value no number."""
-    text = F.from_json(document, f"{field} string")[field]
+def json_text(document: Column, field: str) -> Column:
+    """A field of a JSON object as text; null when the document is no object."""
+    return F.from_json(document, f"{field} string")[field]
+
+
+def json_number(
+    document: Column, field: str, number_type: str = GB_TYPE, whole_only: bool = False, text: Column | None = None
+) -> Column:
+    """A numeric field of a JSON object; null when the document is no object or the value no number.
+
+    Parsing is dear and the text is looked at several times: over many rows, select `json_text`
+    first and pass its column as `text`.
+    """
+    text = json_text(document, field) if text is None else text
     plain = guarded_number(text, number_type, whole_only)
     if whole_only:
         return plain

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from memberlytics.functions.scores import INDEX_CODES, PERSONA_BY_INDEX, RAW_SCORES, persona_code, t_score
+from memberlytics.functions.scores import INDEX_CODES, PERSONA_BY_INDEX, RAW_SCORES, mapped, t_score
 from memberlytics.operators.activity import billing_monthly, coupon_7d, log_features, support_monthly
 from memberlytics.operators.members import base_members, family_counts, with_family_size
 from memberlytics.operators.ranking import latest_by
@@ -93,21 +93,18 @@ def unpivot_scores(tscores: DataFrame) -> DataFrame:
 def winning_index(tscores: DataFrame) -> DataFrame:
     """The highest score of each member, ties to the alphabetically first code, a null above all.
 
-    The six scores sit in one row, so the maximum is taken there: no unpivot, shuffle or sort.
+    The six scores sit in one row, so they are compared there: no unpivot, shuffle or sort.
     """
     alphabetical = sorted(INDEX_CODES)
-    candidates = [
-        F.struct(
-            F.col(f"{code}_tscore").isNull().alias("missing"),
-            F.col(f"{code}_tscore").alias("tscore"),
-            F.lit(-place).alias("precedence"),
-            F.lit(code).alias("index_code"),
-        )
-        for place, code in enumerate(alphabetical)
-    ]
-    best = tscores.select("member_id", F.array_max(F.array(*candidates)).alias("best"))
-    return best.select(
-        "member_id", F.col("best.index_code").alias("source_index_code"), F.col("best.tscore").alias("source_tscore")
+    value = {code: F.col(f"{code}_tscore") for code in alphabetical}
+    highest = F.greatest(*value.values())
+    missing = [F.when(value[code].isNull(), F.lit(code)) for code in alphabetical]
+    reached = [F.when(value[code] == highest, F.lit(code)) for code in alphabetical]
+    any_missing = F.coalesce(*missing).isNotNull()
+    return tscores.select(
+        "member_id",
+        F.coalesce(*missing, *reached).alias("source_index_code"),
+        F.when(~any_missing, highest).alias("source_tscore"),
     )
 
 
@@ -120,13 +117,17 @@ def latest_persona_type(persona_type: DataFrame) -> DataFrame:
 
 def build_persona_snapshot(tscores: DataFrame, persona_type: DataFrame, as_of: date) -> DataFrame:
     """Each member's persona; a member whose character has no active definition is left out."""
-    winners = winning_index(tscores.where(F.col("snapshot_date") == F.lit(as_of))).withColumn(
-        "persona_code", persona_code(F.col("source_index_code"))
-    )
-    # At most one definition for each of the six personas, so the broadcast side cannot grow.
+    # At most one definition for each of the six personas, so the broadcast side cannot grow. It
+    # carries the index code, which spares mapping every member's code to a character.
     wanted = persona_type.where(F.col("character_name").isin(sorted(PERSONA_BY_INDEX.values())))
-    definitions = latest_persona_type(wanted).withColumnRenamed("character_name", "persona_code")
-    return winners.join(F.broadcast(definitions), "persona_code").select(
+    index_by_persona = {persona: code for code, persona in PERSONA_BY_INDEX.items()}
+    definitions = latest_persona_type(wanted).select(
+        mapped(F.col("character_name"), index_by_persona, None).alias("source_index_code"),
+        F.col("character_name").alias("persona_code"),
+        "persona_type_id",
+    )
+    winners = winning_index(tscores.where(F.col("snapshot_date") == F.lit(as_of)))
+    return winners.join(F.broadcast(definitions), "source_index_code").select(
         F.lit(as_of).alias("snapshot_date"),
         "member_id",
         "persona_type_id",

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from memberlytics.functions.numbers import digits_number, json_number
+from memberlytics.functions.numbers import digits_number, json_number, json_text
 from memberlytics.operators.lookups import join_lookup
 from memberlytics.operators.ranking import latest_by
 
@@ -159,14 +159,13 @@ def sharing_used(
     active: DataFrame, usage_monthly: DataFrame, yyyymm: str, strict_integer_guard: bool = True
 ) -> DataFrame:
     """Shared data used in the month; a missing or non-numeric amount counts as none."""
+    field = "tethering_sharing_data_gb"
     usage = usage_monthly.where(F.col("yyyymm") == yyyymm).select("subscription_id", "usage_details")
-    amount = json_number(F.col("usage_details"), "tethering_sharing_data_gb", "double", strict_integer_guard)
     plans = active.where(is_type("MOBILE_PLAN")).select("subscription_id", "member_id")
-    return (
-        plans.join(usage, "subscription_id")
-        .groupBy("member_id")
-        .agg(F.sum(F.coalesce(amount, F.lit(0.0))).alias("sharing_used_gb"))
-    )
+    # Only documents that meet a plan are parsed, and each once.
+    parsed = plans.join(usage, "subscription_id").withColumn("text", json_text(F.col("usage_details"), field))
+    amount = json_number(F.col("usage_details"), field, "double", strict_integer_guard, F.col("text"))
+    return parsed.groupBy("member_id").agg(F.sum(F.coalesce(amount, F.lit(0.0))).alias("sharing_used_gb"))
 
 
 def index_rollup(catalogued: DataFrame, strict_integer_guard: bool = True) -> DataFrame:
