@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from memberlytics.llm import decontamination, lines
 from memberlytics.llm.packing import op1_best_fit_packing
+from memberlytics.llm.pii import op10_pii
 from memberlytics.llm.repair import op4_token_ids
 from memberlytics.llm.simhash import op8_simhash
 from memberlytics.llm.substring import op5_substring_dedup
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_line_dedup": lines.op2_line_dedup,
     "op4_token_ids": op4_token_ids,
     "op5_substring_dedup": op5_substring_dedup,
     "op8_simhash": op8_simhash,
+    "op9_decontamination": decontamination.op9_decontamination,
+    "op10_pii": op10_pii,
+}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": lines.ORACLE,
+    "op9_decontamination": decontamination.ORACLE,
 }
-ORACLES: dict[str, str] = {}

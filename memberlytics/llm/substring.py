@@ -115,7 +115,7 @@ def anchors(docs: DataFrame) -> DataFrame:
 
 
 def windows_around(words: list[bytes], places: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of all windows that hold one of the anchors, and their hashes (64 and 32 bits)."""
+    """Windows that hold one of the anchors, each content once: a start, and its hashes (64 and 32 bits)."""
     last = len(words) - WINDOW
     at = np.asarray([place for place in places if place <= len(words) - SPAN], np.int64)
     starts = np.unique((at[:, None] - np.arange(PERIOD)[None, :]).ravel())
@@ -124,11 +124,16 @@ def windows_around(words: list[bytes], places: list[int]) -> tuple[np.ndarray, n
         return (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))
     hashes = hash_words(words)
     first, second = (rolling(hashes, WINDOW, base)[starts] for base in BASES)
-    return starts.astype(np.int32), first.view(np.int64), second.astype(np.uint32).view(np.int32)
+    _, once = np.unique(first, return_index=True)
+    return starts[once].astype(np.int32), first[once].view(np.int64), second[once].astype(np.uint32).view(np.int32)
 
 
 def kept(words: list[bytes], starts: list[int]) -> tuple[int, str]:
-    """Words removed by windows at `starts`, and the hash of what is left."""
+    """Words removed by windows equal to those at `starts`, and the hash of what is left."""
+    starts = [s for s in starts if s + WINDOW <= len(words)]
+    if starts:
+        hashes = rolling(hash_words(words), WINDOW, BASES[0])
+        starts = np.flatnonzero(np.isin(hashes, hashes[starts]))
     edge = np.zeros(len(words) + 1, np.int64)
     np.add.at(edge, np.asarray(starts, np.int64), 1)
     np.add.at(edge, np.asarray(starts, np.int64) + WINDOW, -1)
@@ -182,7 +187,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         for doc_id, text, starts in rows:
             words = words_of(text)
             sha = hashlib.sha256(b" ".join(words)).hexdigest()
-            yield (doc_id, sha, *kept(words, [s for s in starts if s + WINDOW <= len(words)]))
+            yield (doc_id, sha, *kept(words, starts))
 
     result = "doc_id bigint, sha string, cut_words bigint, cut_sha string"
     trimmed = map_rows(named.join(repeats, "doc_id"), rows_of, result, ("doc_id", "text", "starts"))
