@@ -73,14 +73,27 @@ def repeated_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     return gone.groupBy("doc_id", "sign").agg(F.collect_list("at").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
-    """`docs` with later repeats cut out of `text`; `n_chars`, if there, counts what is left."""
+def lines_left(text: Column, gone: Column) -> Column:
+    return F.filter(line_array(text), lambda line, at: ~F.array_contains(gone, at))
+
+
+def bare_after(text: Column, gone: Column) -> Column:
+    return F.forall(lines_left(text, gone), lambda line: F.trim(line) == "")
+
+
+def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, drop_emptied: bool = False) -> DataFrame:
+    """`docs` with later repeats cut out of `text`; `n_chars`, if there, counts what is left.
+
+    With `drop_emptied`, documents whose lines have all gone go too.
+    """
     gone = cut(repeated_lines(docs, min_run), "gone").toDF("_doc_id", "_sign", "_gone")
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_sign"))
     marked = docs.join(gone, same, "left")
-    kept = F.filter(line_array(F.col("text")), lambda line, at: ~F.array_contains("_gone", at))
-    bare = F.forall(kept, lambda line: F.trim(line) == "")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.when(bare, "").otherwise(F.array_join(kept, "\n")))
+    if drop_emptied:
+        marked = marked.where(F.col("_gone").isNull() | ~bare_after(F.col("text"), F.col("_gone")))
+    kept = lines_left(F.col("text"), F.col("_gone"))
+    cut_text = F.when(bare_after(F.col("text"), F.col("_gone")), "").otherwise(F.array_join(kept, "\n"))
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(cut_text)
     out = marked.withColumn("text", text).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 

@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from memberlytics.llm import decontamination, lines
+from memberlytics.llm.credentials import op3_secret_scan
+from memberlytics.llm.neighbours import op7_nearest_neighbours
 from memberlytics.llm.packing import op1_best_fit_packing
 from memberlytics.llm.pii import op10_pii
 from memberlytics.llm.repair import op4_token_ids
 from memberlytics.llm.simhash import op8_simhash
 from memberlytics.llm.substring import op5_substring_dedup
+from memberlytics.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_dedup": lines.op2_line_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op4_token_ids": op4_token_ids,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_toxicity": op6_toxicity,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_simhash": op8_simhash,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_pii": op10_pii,
