@@ -9,13 +9,17 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import batched
 
 import numpy as np
 from tokenizers import Tokenizer
 
+# Texts whose new pieces are encoded together.
+TEXTS = 128
 # Pieces that a worker remembers at most.
-MEMO = 600_000
+MEMO = 800_000
 
 
 def default_path(name: str) -> str:
@@ -29,30 +33,61 @@ def as_bytes(ids: list[int]) -> bytes:
 
 
 class Pieces:
-    """`encode(text)`: the ids of a whole text as little-endian unsigned 32-bit integers."""
+    """`encode(texts)`: the ids of whole texts as little-endian unsigned 32-bit integers."""
+
+    # Letters, of which each alphabet here makes a word of its own, and a sign after them.
+    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {"": b""}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.signs = {"": b""} | dict(zip(".,;:!?", self.whole(list(".,;:!?")), strict=True))
+        size = self.tokenizer.get_vocab_size()
+        self.names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [as_bytes(e.ids) for e in encoded]
 
-    def encode(self, text: str) -> bytes:
-        pieces = self.split(text)
-        if pieces is None or any(s in text for s in self.special):
-            return self.whole([text])[0]
-        found = list(map(self.memo.get, pieces))
-        if None in found:
-            new = list({p for p, ids in zip(pieces, found, strict=True) if ids is None})
-            fresh = dict(zip(new, self.encode_new(new), strict=True))
-            found = [ids if ids is not None else fresh[p] for p, ids in zip(pieces, found, strict=True)]
-            if len(self.memo) < MEMO:
-                self.memo.update(fresh)
-        return b"".join(found)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split, new = [], set()
+        for text in texts:
+            pieces = None if any(s in text for s in self.special) else self.split(text)
+            unknown = set(pieces).difference(self.memo) if pieces else ()
+            if unknown and any(map(self.uncertain, unknown)):
+                pieces = None
+            elif unknown:
+                new |= unknown
+            split.append(pieces)
+        fresh = self.encode_new(new) if new else {}
+        self.memo.update(fresh)
+        known = self.memo.__getitem__
+        out = [b"".join(map(known, pieces)) if pieces else self.whole([text])[0] for text, pieces in zip(texts, split, strict=True)]
+        if len(self.memo) > MEMO:
+            for piece in fresh:
+                del self.memo[piece]
+        return out
+
+    def encode_new(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of new pieces; those of letters and a sign by their letters, which may be known."""
+        simple = {p: m for p in new if (m := self.SIMPLE.fullmatch(p))}
+        letters = {self.key(m[1]) for m in simple.values()}
+        missing = [w for w in letters if w not in self.memo]
+        words = dict(zip(missing, self.encode_words(missing), strict=True)) if missing else {}
+        known = {w: words[w] if w in words else self.memo[w] for w in letters}
+        fresh = {p: known[self.key(m[1])] + self.signs[m[2]] for p, m in simple.items()}
+        other = [p for p in new if p not in simple]
+        fresh.update(zip(other, self.encode_others(other), strict=True))
+        return words | fresh
+
+    def cut_at(self, ids: bytes, at: np.ndarray, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, given where each begins."""
+        if len(at) != len(pieces):
+            raise ValueError("the tokenizer cuts pieces in another way than this class expects")
+        ends = [*at[1:].tolist(), len(ids) // 4]
+        return [ids[4 * a : 4 * b] for a, b in zip(at.tolist(), ends, strict=True)]
 
 
 class BytePieces(Pieces):
@@ -60,60 +95,60 @@ class BytePieces(Pieces):
 
     def __init__(self, path: str) -> None:
         super().__init__(path)
-        size = self.tokenizer.get_vocab_size()
         # The byte-level alphabet writes a space as U+0120.
-        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
+        self.opens = np.array([name.startswith("Ġ") for name in self.names])
+
+    def key(self, letters: str) -> str:
+        return letters
 
     def split(self, text: str) -> list[str] | None:
-        # Runs of white space are cut by what follows them: leave such texts whole.
-        if re.search(r" \s|^\s| $", text):
+        # Runs of white space are cut by what follows them: leave such texts whole. (The first
+        # piece, without a space before it, is marked by "\0".)
+        pieces = text.split(" ")
+        if "" in pieces or "\0" in text:
             return None
-        head, *rest = text.split(" ")
-        return [head if not head else "\0" + head, *rest]
+        pieces[0] = "\0" + pieces[0]
+        return pieces
+
+    def uncertain(self, piece: str) -> bool:
+        return piece[0].isspace() or piece[:1] == "\0" and piece[1].isspace()
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        ids = self.whole([" " + " ".join(words)])[0]
+        return self.cut_at(ids, np.flatnonzero(self.opens[np.frombuffer(ids, "<u4")]), words)
 
-    def encode_new(self, new: list[str]) -> list[bytes]:
-        # A text's first piece has no space before it; it is marked by "\0" and encoded as it is.
-        heads = [p for p in new if p[:1] == "\0"]
-        spaced = [p for p in new if p[:1] != "\0"]
+    def encode_others(self, others: list[str]) -> list[bytes]:
+        heads = [p for p in others if p[:1] == "\0"]
+        spaced = [p for p in others if p[:1] != "\0"]
         done = dict(zip(heads, self.whole([p[1:] for p in heads]), strict=True))
         if spaced:
-            ids = np.frombuffer(self.whole([" " + " ".join(spaced)])[0], "<u4")
-            at = np.flatnonzero(self.opens[ids])
-            if len(at) != len(spaced):
-                raise ValueError("a piece without exactly one space at its front")
-            data, ends = ids.tobytes(), [*at[1:].tolist(), len(ids)]
-            done.update((p, data[4 * a : 4 * b]) for p, a, b in zip(spaced, at.tolist(), ends, strict=True))
-        return [done[p] for p in new]
+            done.update(zip(spaced, self.encode_words(spaced), strict=True))
+        return [done[p] for p in others]
 
 
 class WordPieces(Pieces):
-    """BPE with word ends: white space is dropped, and each word ends in an id of its own kind."""
-
-    SIMPLE = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?]?)")
+    """BPE with word ends: white space and case are dropped, and each word ends in an id of its own kind."""
 
     def __init__(self, path: str) -> None:
         super().__init__(path)
-        size = self.tokenizer.get_vocab_size()
-        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.ends = np.array([name.endswith("</w>") for name in self.names])
+
+    def key(self, letters: str) -> str:
+        return letters.lower()
 
     def split(self, text: str) -> list[str]:
         return text.replace("\n", " ").split(" ")
 
-    def encode_new(self, new: list[str]) -> list[bytes]:
-        # Letters with a sign after them are known to be one or two words; they go in one call.
-        simple = {p: 1 + bool(m[1]) for p in new if (m := self.SIMPLE.fullmatch(p))}
-        other = [p for p in new if p not in simple]
-        done = dict(zip(other, self.whole(other), strict=True))
-        if simple:
-            ids = np.frombuffer(self.whole([" ".join(simple)])[0], "<u4")
-            word_ends = np.flatnonzero(self.ends[ids]) + 1
-            last = np.cumsum(list(simple.values()))
-            if last[-1] != len(word_ends):
-                raise ValueError("a piece of another number of words than its letters tell")
-            ends = word_ends[last - 1].tolist()
-            data = ids.tobytes()
-            done.update((p, data[4 * a : 4 * b]) for p, a, b in zip(simple, [0, *ends[:-1]], ends, strict=True))
-        return [done[p] for p in new]
+    def uncertain(self, piece: str) -> bool:
+        return False
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        ids = self.whole([" ".join(words)])[0]
+        ends = np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1
+        return self.cut_at(ids, np.concatenate(([0], ends[:-1])), words)
+
+    def encode_others(self, others: list[str]) -> list[bytes]:
+        return self.whole(others)
 
 
 @cache
@@ -124,3 +159,9 @@ def byte_pieces(path: str) -> BytePieces:
 @cache
 def word_pieces(path: str) -> WordPieces:
     return WordPieces(path)
+
+
+def encoded(rows: Iterable[tuple], encoder: Pieces) -> Iterator[tuple]:
+    """(doc_id, text) rows to (doc_id, ids), so many at a time that new pieces share a call."""
+    for some in batched(rows, TEXTS):
+        yield from zip((doc_id for doc_id, _ in some), encoder.encode([text or "" for _, text in some]), strict=True)

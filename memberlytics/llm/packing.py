@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from memberlytics.llm.common import cut, map_rows, partitions, table
-from memberlytics.llm.encoders import as_bytes, byte_pieces, default_path
+from memberlytics.llm.encoders import as_bytes, byte_pieces, default_path, encoded
 
 CAPACITY = 1024
 END_ID = 2
@@ -35,9 +35,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
     end = as_bytes([end_id])
 
     def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
-        encoder = byte_pieces(path)
-        for doc_id, text in rows:
-            data = encoder.encode(text or "") + end
+        for doc_id, ids in encoded(rows, byte_pieces(path)):
+            data = ids + end
             size = len(data) // 4
             first = size - capacity * ((size - 1) // capacity)
             at = [0, *range(first, size + 1, capacity)]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from memberlytics.llm.common import map_rows, partitions, table
-from memberlytics.llm.encoders import as_bytes, default_path, word_pieces
+from memberlytics.llm.encoders import as_bytes, default_path, encoded, word_pieces
 from memberlytics.sources.versions import shared_folder
 
 END_ID = 1
@@ -152,9 +152,9 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, shard_to
     path, end = path or default_path(VOCABULARY), as_bytes([END_ID])
 
     def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
-        encoder, part, shard, held, size = word_pieces(path), TaskContext.get().partitionId(), 0, [], 0
-        for doc_id, text in rows:
-            data = encoder.encode(text or "") + end
+        part, shard, held, size = TaskContext.get().partitionId(), 0, [], 0
+        for doc_id, ids in encoded(rows, word_pieces(path)):
+            data = ids + end
             held.append((doc_id, data))
             size += len(data) // 4
             if size >= shard_tokens:
