@@ -8,9 +8,26 @@ from __future__ import annotations
 import re
 
 from checks.inputs import AS_OF, FEATURE_DATES, INDEX_DATES, TABLES, duckdb_tables
-from memberlytics.functions.scores import INDEX_CODES, MEMBERSHIP_POINTS, PERSONA_BY_INDEX, UPSELL_TAGS
-from memberlytics.operators.events import EVENT_BY_COLUMN, LONG_WINDOW_COLUMN
-from memberlytics.operators.subscriptions import PRODUCT_TYPES
+
+# Fixed values, spelled out here so that a wrong one in the code under test is seen.
+INDEX_CODES = ['explore', 'benefit_trend', 'multi_device', 'family_home', 'internet_security', 'stability']
+MEMBERSHIP_POINTS = {'VVIP': 100, 'VIP': 80, 'GOLD': 60, 'BASIC': 40}
+PERSONA_BY_INDEX = {'explore': 'SPACE_SHERLOCK',
+ 'benefit_trend': 'SPACE_SURFER',
+ 'multi_device': 'SPACE_OCTOPUS',
+ 'family_home': 'SPACE_GRAVITY',
+ 'internet_security': 'SPACE_GUARDIAN',
+ 'stability': 'SPACE_EXPLORER'}
+UPSELL_TAGS = ['OTT프리미엄', '가족결합메인', '가족공유', '테더링쉐어링']
+EVENT_BY_COLUMN = {'click_list_type_cnt': 'click_list_type',
+ 'click_product_detail_cnt': 'click_product_detail',
+ 'click_compare_cnt': 'click_compare',
+ 'click_coupon_cnt': 'click_coupon',
+ 'click_penalty_cnt': 'click_penalty',
+ 'click_change_cnt': 'click_change',
+ 'click_change_success_cnt': 'click_change_success'}
+LONG_WINDOW_COLUMN = 'click_change_success_cnt'
+PRODUCT_TYPES = ['MOBILE_PLAN', 'INTERNET', 'IPTV', 'TAB_WATCH_PLAN', 'ADDON']
 
 TODAY = f"DATE '{AS_OF}'"
 NOW = "TIMESTAMP '2024-01-30 12:00:00'"
@@ -400,4 +417,8 @@ def statement(select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select if ctes else select
 
 
+# Repeated rows change nothing.
+SELECTS["insert_ignore_repeated"] = SELECTS["insert_ignore"]
+SELECTS["apply_results_repeated"] = SELECTS["apply_results"]
+
 ORACLES = {name: statement(select) for name, select in SELECTS.items()}

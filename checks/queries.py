@@ -34,7 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 VERSION, JOB, TOKEN = 1, 7, 900
-CHUNK, DRAIN_CHUNK = 1000, 20_000
+CHUNK = 1000
 CLAIM = dispatch.ClaimParams(VERSION, JOB, TOKEN, NOW, CHUNK)
 INDEX_TABLES = [
     "member", "product", "subscription", "addon_service", "mobile_plan", "usage_monthly", "member_coupon",
@@ -415,6 +415,20 @@ def insert_ignore(spark, sf_dir):
     return merging.insert_ignore(analyses, offered, ["case_id", "analyzer_version"])
 
 
+@query
+def insert_ignore_repeated(spark, sf_dir):
+    """The same with every case offered twice: the one with the smaller id is taken."""
+    cases, analyses, _ = _state(spark, sf_dir)
+    offered = cases.select(
+        F.explode(F.array(F.col("case_id") + 2_000_000_000, F.col("case_id") + 1_000_000_000)).alias("analysis_id"),
+        "case_id",
+        F.lit(VERSION).cast("bigint").alias("analyzer_version"),
+        F.lit(JOB).cast("bigint").alias("job_instance_id"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    )
+    return merging.insert_ignore(analyses, offered, ["case_id", "analyzer_version"])
+
+
 @query
 def backlog(spark, sf_dir):
     _, analyses, outbox = _state(spark, sf_dir)
@@ -472,6 +486,15 @@ def apply_results(spark, sf_dir):
     return dispatch.apply_results(outbox, _all_results(spark, sf_dir), NOW)
 
 
+@query
+def apply_results_repeated(spark, sf_dir):
+    """Every answer twice, and after a success a failure: a success counts, and no row is doubled."""
+    _, _, outbox = _state(spark, sf_dir)
+    answers = _all_results(spark, sf_dir)
+    late = answers.where("ok").select("request_id", F.lit(False).alias("ok"), F.lit("late").alias("error"))
+    return dispatch.apply_results(outbox, answers.unionAll(answers).unionByName(late), NOW)
+
+
 @query
 def dispatch_counts(spark, sf_dir):
     _, analyses, outbox = _state(spark, sf_dir)
@@ -483,7 +506,7 @@ def dispatch_counts(spark, sf_dir):
 @query
 def drain_dispatch(spark, sf_dir):
     """The outbox after claiming and delivering until nothing is left."""
-    drained = run_dispatch(*_state(spark, sf_dir), _deliver, VERSION, JOB, NOW, TOKEN, DRAIN_CHUNK)
+    drained = run_dispatch(*_state(spark, sf_dir), _deliver, VERSION, JOB, NOW, TOKEN, CHUNK)
     return drained.outbox.select(
         "request_id", "dispatch_status", "attempt_count", "next_retry_at", "last_error", "claimed_done_at", "created_at"
     )

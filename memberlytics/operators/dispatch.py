@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from memberlytics.functions.dates import timestamp_literal
 from memberlytics.operators.merging import insert_ignore, upsert_columns
 from memberlytics.operators.ranking import order_limit
+from memberlytics.sources.versions import materialize
 
 # Outbox type and states, defaults of the job, and the retry policy.
 REQUEST = "REQUEST"
@@ -166,11 +167,12 @@ def claim_chunk(support_case: DataFrame, analyses: DataFrame, outbox: DataFrame,
     """Seed the next cases and claim the next analyses.
 
     Both look at the tables as they were before the call, so cases seeded here can be claimed by
-    the next call at the earliest.
+    the next call at the earliest. Seeds and picks, a chunk at most of each, are written once: the
+    states below read them several times and would search the backlog again each time.
     """
-    seeds = seed_analyses(support_case, analyses, params.version, params.job, params.chunk)
+    seeds = materialize(seed_analyses(support_case, analyses, params.version, params.job, params.chunk), "seeds")
     picked = pickable(analyses, outbox, params.version, params.now, params.lease_sec, params.chunk)
-    picked = picked.withColumn("claim_token", F.lit(params.token).cast("bigint"))
+    picked = materialize(picked.withColumn("claim_token", F.lit(params.token).cast("bigint")), "picks")
     updated = claim_analyses(analyses, picked, params.job, params.now)
     return Claim(
         insert_ignore(updated, seeds, ["case_id", "analyzer_version"]),
@@ -248,18 +250,21 @@ def apply_results(
 ) -> DataFrame:
     """Apply delivery results (`request_id`, `ok`, `error`).
 
-    Delivered requests become SENT. Failed ones wait 1, 2, 4 ... minutes for a retry, until the
+    Of several answers to one request a success counts, else the failure with the largest text: delivery
+    is at least once. Delivered requests become SENT. Failed ones wait 1, 2, 4 ... minutes for a retry, until the
     attempts are used up and they become DEAD.
     """
     moment = timestamp_literal(now)
-    answers = results.select("request_id", F.col("ok").alias("_ok"), F.col("error").alias("_error"))
+    answers = results.groupBy("request_id").agg(
+        F.max("ok").alias("_ok"), F.max(F.when(~F.col("ok"), F.col("error"))).alias("_error")
+    )
     joined = outbox.join(answers, "request_id", "left")
 
     answered = F.col("_ok").isNotNull() & (F.col("type") == REQUEST)
     sent, attempts = F.col("_ok"), F.col("attempt_count")
     dead = attempts + 1 >= max_attempts
     wait_sec = (FIRST_RETRY_SEC * F.pow(F.lit(2.0), F.greatest(attempts, F.lit(0)))).cast("int")
-    error = F.when(F.trim("_error") != "", F.col("_error")).otherwise(F.lit("Exception"))
+    error = F.when(F.col("_error").rlike(r"\S"), F.col("_error")).otherwise(F.lit("Exception"))
 
     changed = {
         "dispatch_status": F.when(sent, "SENT").when(dead, "DEAD").otherwise("RETRY"),

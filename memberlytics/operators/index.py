@@ -95,16 +95,18 @@ def winning_index(tscores: DataFrame) -> DataFrame:
 
     The six scores sit in one row, so they are compared there: no unpivot, shuffle or sort.
     """
-    alphabetical = sorted(INDEX_CODES)
-    value = {code: F.col(f"{code}_tscore") for code in alphabetical}
-    highest = F.greatest(*value.values())
-    missing = [F.when(value[code].isNull(), F.lit(code)) for code in alphabetical]
-    reached = [F.when(value[code] == highest, F.lit(code)) for code in alphabetical]
-    any_missing = F.coalesce(*missing).isNotNull()
-    return tscores.select(
+    # Each score is named once, so a plan that computes it does not copy that work per use.
+    ranked = F.array_max(
+        F.transform(
+            F.array(*[F.struct(F.col(f"{code}_tscore").alias("value"), F.lit(code).alias("code"), F.lit(-place).alias("back")) for place, code in enumerate(sorted(INDEX_CODES))]),
+            lambda score: F.struct(score["value"].isNull().alias("missing"), F.coalesce(score["value"], F.lit(0.0)).alias("value"), score["back"].alias("back"), score["code"].alias("code")),
+        )
+    )
+    best = tscores.select("member_id", ranked.alias("_best"))
+    return best.select(
         "member_id",
-        F.coalesce(*missing, *reached).alias("source_index_code"),
-        F.when(~any_missing, highest).alias("source_tscore"),
+        F.col("_best.code").alias("source_index_code"),
+        F.when(~F.col("_best.missing"), F.col("_best.value")).alias("source_tscore"),
     )
 
 

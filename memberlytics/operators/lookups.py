@@ -24,7 +24,8 @@ def join_lookup(
     lookup: DataFrame,
     key: str,
     how: str = "inner",
-    spread_by: str | None = None,
+    *,
+    spread_by: str,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join `rows` to `lookup` (unique on `key`): broadcast if it measures small, else hot keys apart."""
@@ -58,7 +59,8 @@ def join_hot_apart(
 
     served = rows.join(F.broadcast(hot), key, "left")
     is_open = F.col("_hot").isNull() & F.col(key).isNotNull()
-    elsewhere: Column = F.xxhash64(spread_by).cast(rows.schema[key].dataType)
+    # The stand-in keys lie in the range of int, so that they fit any type of whole numbers from there on.
+    elsewhere: Column = F.hash(spread_by).cast(rows.schema[key].dataType)
     joined = (
         served.withColumn("_open", is_open)
         .withColumn("_key", F.when(is_open, F.col(key)).otherwise(elsewhere))

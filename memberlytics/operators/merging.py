@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,15 +26,27 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeys(f"{found['n']} rows share the key {found.asDict()}")
 
 
+def checked_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`df`, failing while it runs if two of its rows share a key."""
+    repeats = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    message = F.concat(F.lit("DuplicateKeys: rows share the key "), F.to_json(F.struct(*keys)))
+    guarded = df.withColumn("_repeats", F.when(repeats > 1, F.raise_error(message)).otherwise(F.lit(False)))
+    return guarded.where(~F.col("_repeats")).drop("_repeats")
+
+
 def upsert_by_key(current: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Whole-row upsert: incoming rows replace or extend, all other rows stay."""
+    """Whole-row upsert: incoming rows replace or extend, all other rows stay. Repeated incoming keys fail."""
+    updates = checked_unique(updates, keys)
     return current.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
 
 
 def insert_ignore(current: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the rows of `new` whose key is not there yet."""
-    present = current.select(*keys).join(new.select(*keys), list(keys), "left_semi")
-    return current.unionByName(new.join(present, list(keys), "left_anti"))
+    """Add the rows of `new` whose key is not there yet; of new rows with one key, the smallest in column order."""
+    new = new.select(*current.columns)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in current.columns]))
+    first = new.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
+    present = current.select(*keys).join(first.select(*keys), list(keys), "left_semi")
+    return current.unionByName(first.join(present, list(keys), "left_anti"))
 
 
 def upsert_columns(
@@ -47,7 +59,9 @@ def upsert_columns(
     """Partial upsert: on a match only `update_columns` change; an insert takes `insert_defaults`.
 
     A column of an inserted row comes from `updates`, else from `insert_defaults`, else is null.
+    Repeated incoming keys fail.
     """
+    updates = checked_unique(updates, [key])
     incoming = updates.select(
         key, F.lit(True).alias("_matched"), *[F.col(c).alias(f"_new_{c}") for c in update_columns]
     )

@@ -1,8 +1,8 @@
-"""Dispatch job: claim and deliver chunk by chunk until nothing is left to claim.
+"""Dispatch job: claim and deliver in chunks until nothing is left to claim.
 
-The full tables are joined twice however many rounds there are: once at the start, for the sorted
-backlog, and once at the end, to merge what the rounds did. A round itself reads the next chunk
-from the backlog by a range on its sort key, and writes only its own rows to the shared folder.
+With one reading of the clock the rounds do not depend on what delivery answers, so they need not be
+run one after the other: backlog and unseeded cases are ranked once, the rank tells the round, and
+all rounds are claimed, delivered and merged as sets, in a fixed number of Spark jobs.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from memberlytics.operators.dispatch import (
@@ -24,19 +24,17 @@ from memberlytics.operators.dispatch import (
     claim_analyses,
     claim_outbox,
     last_analysis_id,
-    new_analyses,
     request_id,
     unseeded_cases,
 )
 from memberlytics.operators.merging import insert_ignore
-from memberlytics.operators.ranking import order_limit
-from memberlytics.schemas import SCHEMAS, schema
+from memberlytics.operators.ranking import ranked
+from memberlytics.schemas import SCHEMAS
 from memberlytics.sources.messages import to_request_messages
-from memberlytics.sources.versions import empty_table, read_replaced, replace_table, shared_folder
+from memberlytics.sources.versions import read_replaced, replace_table, shared_folder
 
 ANALYSES, OUTBOX = "consultation_analysis", "analysis_dispatch_outbox"
 
-RESULTS = schema("request_id string, ok boolean, error string")
 # Messages in; one row per request (`request_id`, `ok`, `error`) out.
 Deliver = Callable[[DataFrame], DataFrame]
 
@@ -46,6 +44,8 @@ class Drained:
     analyses: DataFrame
     outbox: DataFrame
     rounds: int
+    published: int
+    retried: int
 
 
 def run_dispatch(
@@ -56,70 +56,76 @@ def run_dispatch(
     version: int,
     job: int,
     now: datetime,
-    first_token: int = 1,
+    first_token: int | None = None,
     chunk: int = DEFAULT_CHUNK,
     lease_sec: int = DEFAULT_LEASE_SEC,
     max_attempts: int = DEFAULT_MAX_ATTEMPTS,
 ) -> Drained:
     """One drain by one reading of the clock: a request that fails waits for a later run.
 
-    Round n claims under token `first_token + n`. As in repeated calls of `claim_chunk`, a round
-    seeds up to `chunk` cases, which rounds after it can claim, and the drain ends with the first
-    round that finds nothing to claim.
+    The result is that of repeated calls of `claim_chunk`, round n under token `first_token + n`
+    (by default the microseconds of `now`, so tokens of different runs differ). A round claims the
+    lowest `chunk` rows of what waits and seeds `chunk` cases for later rounds, and the first round
+    that finds nothing ends the drain. Hence, by rank:
+
+    - a backlog of at least a chunk: backlog, then seeds, fill round after round;
+    - a smaller one is round 0, and seeds fill the rounds from 1 on;
+    - without a backlog, one chunk is seeded and nothing is claimed.
     """
     spark = analyses.sparkSession
     work = f"{shared_folder(spark)}/dispatch-{uuid.uuid4().hex}"
+    if first_token is None:
+        first_token = int(now.timestamp() * 1_000_000)
+
+    waiting = ranked(backlog(analyses, outbox, version, now, lease_sec), "analysis_id", "rank", f"{work}/backlog")
+    unseeded = ranked(unseeded_cases(support_case, analyses, version), "case_id", "rank", f"{work}/unseeded")
+    n_waiting, n_unseeded = waiting.count(), unseeded.count()
+    last_id = last_analysis_id(analyses).first()["last_id"]
+
+    seeds = unseeded if n_waiting else unseeded.where(F.col("rank") < chunk)
+    seeds = seeds.withColumn("analysis_id", F.col("rank") + last_id + 1)
+    seeds = seeds.withColumn("analyzer_version", F.lit(version).cast("bigint"))
+    seeded = seeds.select(
+        "analysis_id",
+        "case_id",
+        "analyzer_version",
+        F.lit(job).cast("bigint").alias("job_instance_id"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    )
+
+    def in_round(round_: Column) -> Column:
+        return (first_token + round_).cast("bigint").alias("claim_token")
+
+    # Rank of the first seed in what fills the rounds.
+    shift = n_waiting if n_waiting >= chunk else chunk
+    picked = waiting.select("analysis_id", "case_id", "analyzer_version", "request_id", in_round(F.floor(F.col("rank") / chunk)))
+    rounds = -(-n_waiting // chunk)
+    if n_waiting:
+        claimed_seeds = seeds.select(
+            "analysis_id",
+            "case_id",
+            "analyzer_version",
+            request_id(F.col("case_id"), F.col("analyzer_version")).alias("request_id"),
+            in_round(F.floor((F.col("rank") + shift) / chunk)),
+        )
+        picked = picked.unionByName(claimed_seeds)
+        rounds = -(-(shift + n_unseeded) // chunk) if n_unseeded else rounds
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{work}/{name}")
         return spark.read.schema(df.schema).parquet(f"{work}/{name}")
 
-    def reread(name: str, like: DataFrame) -> DataFrame:
-        """What all rounds so far have stored under `name`."""
-        return spark.read.schema(like.schema).parquet(f"{work}/{name}").select(like.columns)
-
-    waiting = stored(backlog(analyses, outbox, version, now, lease_sec).orderBy("analysis_id"), "backlog")
-    unseeded = stored(unseeded_cases(support_case, analyses, version).orderBy("case_id"), "unseeded")
-    seeds = empty_table(spark, SCHEMAS[ANALYSES])
-    picks = waiting.limit(0).withColumn("claim_token", F.lit(0).cast("bigint"))
-    results = empty_table(spark, RESULTS)
+    picks = stored(picked.repartition("request_id"), "picks")
+    answers = deliver(to_request_messages(picks)).select("request_id", "ok", "error")
+    results = stored(answers, "results")
+    tally = results.select(F.count_if("ok").alias("published"), F.count_if(~F.col("ok")).alias("retried")).first()
 
-    last_id = last_analysis_id(analyses).first()["last_id"]
-    rounds, last_case, last_analysis = 0, None, None
-    while True:
-        token, step = first_token + rounds, f"{rounds:06d}"
-        # Seeds of earlier rounds come after the whole backlog, as their ids are higher.
-        earlier = seeds.withColumn("request_id", request_id(F.col("case_id"), F.col("analyzer_version")))
-        pool = waiting.unionByName(earlier.select(waiting.columns))
-        if last_analysis is not None:
-            pool = pool.where(F.col("analysis_id") > last_analysis)
-        # The limit leaves one partition; a large chunk is spread again for its delivery.
-        picked = order_limit(pool, "analysis_id", chunk).repartition("request_id")
-        picked = picked.withColumn("claim_token", F.lit(token).cast("bigint"))
-
-        next_cases = unseeded if last_case is None else unseeded.where(F.col("case_id") > last_case)
-        next_cases = order_limit(next_cases, "case_id", chunk)
-        seeded = new_analyses(next_cases, F.lit(last_id), version, job)
-
-        picked = stored(picked, f"picks/step={step}")
-        seeded = stored(seeded, f"seeds/step={step}")
-        newest = seeded.agg(F.max("case_id").alias("case_id"), F.max("analysis_id").alias("analysis_id")).first()
-        if newest.case_id is not None:
-            last_case, last_id = newest.case_id, newest.analysis_id
-        seeds = reread("seeds", seeded)
-        reached = picked.agg(F.max("analysis_id")).first()[0]
-        if reached is None:
-            break
-        last_analysis = reached
-        picks = reread("picks", picked)
-        stored(deliver(to_request_messages(picked)).select("request_id", "ok", "error"), f"results/step={step}")
-        results = reread("results", results)
-        rounds += 1
-
-    claimed = claim_analyses(insert_ignore(analyses, seeds, ["case_id", "analyzer_version"]), picks, job, now)
+    claimed = claim_analyses(insert_ignore(analyses, seeded, ["case_id", "analyzer_version"]), picks, job, now)
     # The claim has left every picked request registered and open, so all of them are sent.
     registered = claim_outbox(outbox, picks, job, now)
-    return Drained(claimed, apply_results(registered, results, now, max_attempts), rounds)
+    return Drained(
+        claimed, apply_results(registered, results, now, max_attempts), rounds, tally["published"], tally["retried"]
+    )
 
 
 def run_stored_dispatch(support_case: DataFrame, store: str, deliver: Deliver, **settings) -> Drained:
@@ -130,4 +136,4 @@ def run_stored_dispatch(support_case: DataFrame, store: str, deliver: Deliver, *
     drained = run_dispatch(support_case, *state, deliver, **settings)
     outbox = replace_table(drained.outbox, f"{store}/{OUTBOX}")
     analyses = replace_table(drained.analyses, f"{store}/{ANALYSES}")
-    return Drained(analyses, outbox, drained.rounds)
+    return Drained(analyses, outbox, drained.rounds, drained.published, drained.retried)

@@ -104,9 +104,11 @@ def read_replaced(spark: SparkSession, root: str, schema: T.StructType) -> DataF
 def replace_snapshot(df: DataFrame, root: str, as_of: date) -> DataFrame:
     """Replace the rows of one snapshot date, and return them as stored.
 
-    Other dates stay. No rows leaves the date empty.
+    Other dates stay. No rows leaves the date empty. A row of another date, or of none, is an error.
     """
-    rows = df.where(F.col("snapshot_date") == F.lit(as_of)).drop("snapshot_date")
+    same = F.coalesce(F.col("snapshot_date") == F.lit(as_of), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit(f"a row of a snapshot of {as_of} is dated "), F.coalesce(F.col("snapshot_date").cast("string"), F.lit("nothing"))))
+    rows = df.where(F.when(same, F.lit(True)).otherwise(wrong.cast("boolean"))).drop("snapshot_date")
     return _read_parts(df.sparkSession, root, df.schema, [_publish(rows, root, as_of.isoformat())])
 
 

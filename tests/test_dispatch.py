@@ -198,3 +198,16 @@ def test_stored_drain_sends_nothing_twice_and_ends(spark, tmp_path):
     assert [len(t) for t in tries] == [9, 3, 3]
     assert {rows[key(c)].dispatch_status for c in range(9) if c % 3} == {"SENT"}
     assert {(rows[key(c)].dispatch_status, rows[key(c)].attempt_count) for c in range(0, 9, 3)} == {("DEAD", 3)}
+
+
+def test_drain_takes_as_many_jobs_however_many_rounds(spark):
+    def jobs(chunk):
+        spark.sparkContext.setJobGroup(f"drain-{chunk}", "")
+        drained = run_dispatch(cases(spark, range(40)), analyses(spark, range(20)), outbox(spark), deliver, 1, 8, NOW, 100, chunk)
+        found = spark.sparkContext.statusTracker().getJobIdsForGroup(f"drain-{chunk}")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return drained.rounds, len(found), drained.published + drained.retried
+
+    few, many = jobs(20), jobs(2)
+    assert (few[0], many[0]) == (2, 20) and few[2] == many[2] == 40
+    assert many[1] <= few[1] + 2

@@ -38,3 +38,12 @@ def test_upsert_columns(spark):
     merged = merging.upsert_columns(current, updates, "k", ["a"], {"n": F.lit(0)})
     assert contents(merged.fillna("-")) == [(1, "-", "kept", 5), (2, "stays", "x", 2), (3, "new", "-", 0)]
     assert merged.schema == current.schema
+
+
+def test_repeated_keys(spark):
+    current = table(spark, [(1, "old", "x", 1)])
+    twice = table(spark, [(2, "b", "y", 2), (2, "a", "y", 3), (1, "new", "y", 2)])
+    assert contents(merging.insert_ignore(current, twice, ["k"])) == [(1, "old", "x", 1), (2, "a", "y", 3)]
+    for merged in (merging.upsert_by_key(current, twice, ["k"]), merging.upsert_columns(current, twice, "k", ["a"], {})):
+        with pytest.raises(Exception, match="DuplicateKeys"):
+            merged.collect()

@@ -25,7 +25,10 @@ def test_replace_snapshot(spark, tmp_path):
     assert stored(spark, root) == []
     versions.replace_snapshot(snapshot(spark, AS_OF, 1, 2), root, AS_OF)
     versions.replace_snapshot(snapshot(spark, BEFORE, 1), root, BEFORE)
-    versions.replace_snapshot(snapshot(spark, AS_OF, 3).unionByName(snapshot(spark, BEFORE, 8)), root, AS_OF)
+    with pytest.raises(Exception, match="is dated"):
+        versions.replace_snapshot(snapshot(spark, AS_OF, 3).unionByName(snapshot(spark, BEFORE, 8)), root, AS_OF)
+    assert stored(spark, root) == [(BEFORE, 1), (AS_OF, 1), (AS_OF, 2)]
+    versions.replace_snapshot(snapshot(spark, AS_OF, 3), root, AS_OF)
     assert stored(spark, root) == [(BEFORE, 1), (AS_OF, 3)]
     assert stored(spark, root, AS_OF) == [(AS_OF, 3)]
     assert versions.read_snapshots(spark, root, RAW).schema == RAW
