@@ -56,7 +56,7 @@ def compress(ids: np.ndarray, end_id: int = END_ID, first: int = FIRST_NONTERMIN
     closes = np.zeros(first + MAX_RULES + 1, bool)  # symbols whose last token is the end id
     closes[end_id] = True
     while len(seq) > 1 and len(rules) < MAX_RULES:
-        keys = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+        keys = seq[:-1] << np.uint32(16) | seq[1:]  # symbols have 16 bits
         inner = ~closes[seq[:-1]]
         ordered = np.sort(keys[inner])
         if not len(ordered):
@@ -71,8 +71,8 @@ def compress(ids: np.ndarray, end_id: int = END_ID, first: int = FIRST_NONTERMIN
         pairs = ordered[front[often]]
         # Cheap tests of either side leave few places to look up.
         is_left, is_right = (np.zeros(first + MAX_RULES + 1, bool) for _ in range(2))
-        is_left[(pairs >> np.uint64(32)).astype(np.int64)] = True
-        is_right[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)] = True
+        is_left[pairs >> np.uint32(16)] = True
+        is_right[pairs & np.uint32(0xFFFF)] = True
         at = np.flatnonzero(inner & is_left[seq[:-1]] & is_right[seq[1:]])
         rule = np.minimum(np.searchsorted(pairs, keys[at]), len(pairs) - 1)
         hit = pairs[rule] == keys[at]
@@ -84,8 +84,8 @@ def compress(ids: np.ndarray, end_id: int = END_ID, first: int = FIRST_NONTERMIN
         at, rule = at[stands], rule[stands]
         seq[at] = first + len(rules) + rule
         seq = np.delete(seq, at + 1)
-        closes[first + len(rules) : first + len(rules) + len(pairs)] = closes[(pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)]
-        rules.extend(zip((pairs >> np.uint64(32)).tolist(), (pairs & np.uint64(0xFFFFFFFF)).tolist(), strict=True))
+        closes[first + len(rules) : first + len(rules) + len(pairs)] = closes[pairs & np.uint32(0xFFFF)]
+        rules.extend(zip((pairs >> np.uint32(16)).tolist(), (pairs & np.uint32(0xFFFF)).tolist(), strict=True))
     return seq, np.array(rules, np.uint32).reshape(-1, 2)
 
 
