@@ -47,7 +47,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
         return 0
     size = min(shingle, len(words))
     shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False))
-    hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64, len(words) - size + 1)
+    return majority(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=SEED), shingles), np.uint64, len(words) - size + 1))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Signed 64-bit SimHash of at least one hash."""
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     ones = bits.sum(axis=0, dtype=np.uint32)
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.int64)[0])
@@ -128,21 +132,29 @@ def shard_keys() -> F.Column:
 def links(distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Links (`a`, `b`) that connect all distinct fingerprints `fp` within RADIUS bits."""
     sharded = distinct.select("fp", F.explode(shard_keys()).alias("key"))
+
+    def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for _, group in groupby(rows, key=lambda row: row[:3]):
+            yield from forest([row[3] for row in group], RADIUS)
+
+    return map_rows(in_chunks(sharded, chunk), rows_of, "a bigint, b bigint", ("key", "i", "j", "fp")).distinct()
+
+
+def in_chunks(sharded: DataFrame, chunk: int) -> DataFrame:
+    """Rows (`key`, `fp` and others) of keys found twice or more, grouped by `key`, `i`, `j`.
+
+    Rows of a key are dealt into chunks of about `chunk` by their fingerprint, and each pair of chunks (i, j) is a group.
+    """
+    columns = [c for c in sharded.columns if c != "key"]
     sizes = sharded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = sharded.join(sizes, "key").withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int"))
     own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
     dealt = (
         members.withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *columns)
     )
-    grouped = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "fp")
-
-    def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for _, group in groupby(rows, key=lambda row: row[:3]):
-            yield from forest([row[3] for row in group], RADIUS)
-
-    return map_rows(grouped, rows_of, "a bigint, b bigint", ("key", "i", "j", "fp")).distinct()
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", *columns)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -177,15 +189,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return found.join(component, "fp").select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest `doc_id`.
-
-    Rows without a `doc_id` stay, as do repeated rows of the one that is kept (they are one
-    document, listed twice).
-    """
-    groups = near_duplicates(docs).where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_anti")
-
-
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

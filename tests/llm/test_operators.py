@@ -13,7 +13,7 @@ import xxhash
 from tokenizers import Tokenizer
 
 from memberlytics.llm import (
-    credentials, decontamination, encoders, lines, neighbours, packing, pii, repair, simhash, substring, toxicity,
+    credentials, decontamination, encoders, lines, neighbours, packing, pii, repair, similar, simhash, substring, toxicity,
 )
 
 SCHEMA = "doc_id bigint, text string, lang string, item_id bigint, score double"
@@ -182,8 +182,6 @@ def test_simhash(spark, docs, rows, nothing):
     got = sorted((str(r.doc_id), r.fingerprint, r.component_id) for r in simhash.near_duplicates(short).collect())
     assert got == expected
     assert simhash.near_duplicates(nothing).count() == 0
-    kept = simhash.keep_first(docs)
-    assert kept.columns == docs.columns and kept.where("doc_id IS NULL").count() == 2
 
 
 def test_links_of_large_shards_are_whole(spark):
