@@ -88,7 +88,8 @@ def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, drop_emptied: bool = Fa
     """
     gone = cut(repeated_lines(docs, min_run), "gone").toDF("_doc_id", "_sign", "_gone")
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_sign"))
-    marked = docs.join(gone, same, "left")
+    # Merged at every size: both sides grow with the documents, so a broadcast would only suit small tables.
+    marked = docs.join(gone.hint("merge"), same, "left")
     if drop_emptied:
         marked = marked.where(F.col("_gone").isNull() | ~bare_after(F.col("text"), F.col("_gone")))
     kept = lines_left(F.col("text"), F.col("_gone"))
