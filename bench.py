@@ -89,7 +89,7 @@ def main() -> None:
     raw = everything["index_raw_snapshot"]
 
     def drain() -> None:
-        drained = run_dispatch(cases, *state, _deliver, 1, 7, NOW, 900, chunk=50_000)
+        drained = run_dispatch(cases, *state, _deliver, 1, 7, NOW, 900)
         consume(drained.analyses)
         consume(drained.outbox)
 
@@ -103,6 +103,9 @@ def main() -> None:
         "active_subscriptions": lambda: consume(active()),
         "raw_snapshot": lambda: consume(index.build_raw_snapshot(index_tables, run_of(AS_OF))),
         "tscore_snapshot": lambda: consume(index.build_tscore_snapshot(raw, AS_OF)),
+        "persona_snapshot": lambda: consume(
+            index.build_persona_snapshot(index.build_tscore_snapshot(raw, AS_OF), source["persona_type"], AS_OF)
+        ),
         "recent_counseling": lambda: consume(activity.recent_counseling(cases)),
         "current_subscriptions": lambda: consume(subscriptions.current_subscriptions(active())),
         "member_context": lambda: consume(profile.build_member_context(everything, run_of(AS_OF), NOW)),

@@ -351,6 +351,10 @@ SELECTS: dict[str, str] = {
     "dispatch_messages": """
         SELECT request_id AS key, concat('{"dispatchRequestId":"', request_id, '","caseId":', case_id, ',"analyzerVersion":', analyzer_version, '}') AS value
         FROM waiting_targets""",
+    "message_sink_roundtrip": """
+        SELECT request_id AS key, concat('{"dispatchRequestId":"', request_id, '","caseId":', case_id, ',"analyzerVersion":', analyzer_version, '}') AS value,
+          true AS ok, CAST(NULL AS VARCHAR) AS error
+        FROM keyed""",
     "dispatch_register": f"""
         SELECT request_id, 7::BIGINT AS job_instance_id, '900' AS chunk_id, '1' AS analysis_version, coalesce(o.dispatch_status, 'READY') AS dispatch_status,
           coalesce(o.attempt_count, 0) AS attempt_count, o.next_retry_at, o.last_error, coalesce(o.created_at, {NOW}) AS created_at, {NOW} AS updated_at,

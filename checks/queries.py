@@ -466,6 +466,16 @@ def dispatch_messages(spark, sf_dir):
     return messages.to_request_messages(dispatch.plan_dispatch(targets, outbox, JOB, 3, NOW).to_send)
 
 
+@query
+def message_sink_roundtrip(spark, sf_dir):
+    """All analyses delivered to a folder and read back, with the answer to each."""
+    _, analyses, _ = _state(spark, sf_dir)
+    keyed = analyses.withColumn("request_id", dispatch.request_id(F.col("case_id"), F.col("analyzer_version")))
+    folder = f"{versions.shared_folder(spark)}/messages-{uuid.uuid4().hex}"
+    answers = messages.deliver_to_folder(folder)(messages.to_request_messages(keyed))
+    return messages.read_messages(spark, folder).join(answers.toDF("key", "ok", "error"), "key")
+
+
 @query
 def dispatch_register(spark, sf_dir):
     """Every analysis registered for dispatch: new outbox rows appear, old ones keep their status."""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from memberlytics.functions.scores import INDEX_CODES, SEGMENTS
+from memberlytics.operators.lookups import join_lookup
 
 TSCORE_COLUMNS = [f"{code}_tscore" for code in INDEX_CODES]
 # Persona columns that must be filled.
@@ -59,9 +60,10 @@ def check_member_context(
     does, and profiles of former members stay in the table: a mismatch can be harmless. Pass the
     rows a run has built as `built` to have their number reported too.
     """
-    plans = product.where(F.col("product_type") == "MOBILE_PLAN").select("product_id")
-    # A semi join: which products are plans matters here, not their details.
-    eligible = subscription.where(F.col("status")).join(plans, "product_id", "left_semi")
+    plans = product.where(F.col("product_type") == "MOBILE_PLAN").select("product_id", F.lit(True).alias("is_plan"))
+    # Few products hold most subscriptions. Which products are plans matters here, not their details.
+    switched_on = subscription.where(F.col("status")).select("subscription_id", "member_id", "product_id")
+    eligible = join_lookup(switched_on, plans.distinct(), "product_id", spread_by="subscription_id")
     segment = F.col("segment")
     check = context.agg(
         F.count(F.lit(1)).alias("context_count"),

@@ -11,6 +11,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from memberlytics.params import resolve_params
+from memberlytics.operators.dispatch import DEFAULT_CHUNK, DEFAULT_LEASE_SEC, DEFAULT_MAX_ATTEMPTS
+from memberlytics.plans.dispatch import Deliver, Drained, run_stored_dispatch
 from memberlytics.plans.event_features import TABLE as FEATURES
 from memberlytics.plans.event_features import run_event_features
 from memberlytics.plans.member_context import TABLE as CONTEXT
@@ -21,6 +23,7 @@ from memberlytics.sources.tables import MissingTables, read_table, require_table
 from memberlytics.sources.versions import has_snapshots, read_snapshots
 
 EVENT_LOG = "customer_event_logs_raw"
+CASES = "support_case"
 INDEX_TABLES = ["index_raw_snapshot", "index_tscore_snapshot", "index_persona_snapshot"]
 # Tables the index reads beyond those its start-up check asks for.
 INDEX_EXTRA = ["persona_type"]
@@ -54,6 +57,24 @@ def member_context_job(
     return run_member_context(tables, store, params, now, bound_to_as_of, check)
 
 
+def dispatch_job(
+    spark: SparkSession,
+    root: str,
+    store: str,
+    deliver: Deliver,
+    job: int,
+    now: datetime,
+    version: int = 1,
+    chunk: int = DEFAULT_CHUNK,
+    lease_sec: int = DEFAULT_LEASE_SEC,
+    max_attempts: int = DEFAULT_MAX_ATTEMPTS,
+) -> Drained:
+    """Claim and deliver all that waits. Analyses and outbox live in `store`, where the first run creates them."""
+    require_tables(spark, [CASES], root)
+    settings = {"chunk": chunk, "lease_sec": lease_sec, "max_attempts": max_attempts}
+    return run_stored_dispatch(read_table(spark, root, CASES), store, deliver, version=version, job=job, now=now, **settings)
+
+
 def _inputs(
     spark: SparkSession,
     root: str,

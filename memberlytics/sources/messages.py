@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The default topic and the delivery settings of the producer.
@@ -32,3 +35,21 @@ def write_messages(messages: DataFrame, sink: str, **options: str) -> None:
         messages.write.format("kafka").options(**settings).save()
     else:
         messages.write.mode("append").options(**options).json(sink)
+
+
+def read_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of a JSON folder, or of all runs below one that `deliver_to_folder` has written."""
+    return spark.read.schema("key string, value string").json(folder).select("key", "value")
+
+
+def deliver_to_folder(folder: str) -> Callable[[DataFrame], DataFrame]:
+    """A delivery to JSON files: every call writes a folder `run=<id>` of its own below `folder` and
+    reports as sent what it finds there afterwards, so the copies of a repeated run can be told apart."""
+
+    def deliver(sent: DataFrame) -> DataFrame:
+        run = f"{folder}/run={uuid.uuid4().hex}"
+        write_messages(sent, run)
+        stored = read_messages(sent.sparkSession, run)
+        return stored.select(F.col("key").alias("request_id"), F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error"))
+
+    return deliver

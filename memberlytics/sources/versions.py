@@ -56,17 +56,15 @@ def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def _current(spark: SparkSession, root: str) -> dict[str, tuple[int, str]]:
-    """Newest (seq, version) of every part. Pointers are one short row per publication."""
+    """Newest (seq, version) of every part; a row per part reaches the driver, however often it was published."""
     try:
         pointers = spark.read.schema(POINTER).json(f"{root}/pointers")
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return {}
-    newest: dict[str, tuple[int, str]] = {}
-    for seq, part, version in pointers.collect():
-        newest[part] = max(newest.get(part, (0, "")), (seq, version))
-    return newest
+    newest = pointers.groupBy("part").agg(F.max(F.struct("seq", "version")).alias("newest"))
+    return {row["part"]: (row["newest"]["seq"], row["newest"]["version"]) for row in newest.collect()}
 
 
 def _publish(df: DataFrame, root: str, part: str) -> str:

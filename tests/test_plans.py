@@ -14,6 +14,7 @@ from memberlytics.plans.event_features import run_event_features
 from memberlytics.plans.member_context import run_member_context
 from memberlytics.plans.weekly_index import run_weekly_index
 from memberlytics.schemas import SCHEMAS
+from memberlytics.sources.messages import deliver_to_folder, read_messages
 from memberlytics.sources.tables import MissingTables
 from memberlytics.sources.versions import read_replaced, read_snapshots
 
@@ -106,6 +107,23 @@ def test_jobs_run_from_folders(spark, world, tmp_path):
     assert jobs.member_context_job(spark, root, store, NOW, "2024-01-30", check=False).count() > 0
 
 
+def test_dispatch_job_sends_each_request_once(spark, world, tmp_path):
+    root, _, tables = world
+    store, folder = f"{tmp_path}/store", f"{tmp_path}/messages"
+    with pytest.raises(MissingTables, match="support_case"):
+        jobs.dispatch_job(spark, str(tmp_path), store, deliver_to_folder(folder), 7, NOW)
+    cases = tables["support_case"].count()
+    seeded = jobs.dispatch_job(spark, root, store, deliver_to_folder(folder), 7, NOW, chunk=50)
+    assert (seeded.rounds, seeded.published, seeded.analyses.count()) == (0, 0, min(50, cases))
+    drained = jobs.dispatch_job(spark, root, store, deliver_to_folder(folder), 8, NOW, chunk=50)
+    assert (drained.published, drained.retried) == (cases, 0)
+    assert drained.outbox.where("dispatch_status = 'SENT'").count() == cases
+    again = jobs.dispatch_job(spark, root, store, deliver_to_folder(folder), 9, NOW, chunk=50)
+    assert again.published == 0
+    keys = read_messages(spark, folder).select("key")
+    assert keys.count() == keys.distinct().count() == cases
+
+
 def test_a_second_bill_is_named(spark, world, tmp_path):
     _, _, tables = world
     twice = tables["billing"].unionByName(tables["billing"].where("member_id = 11 AND yyyymm = '202312'"))
