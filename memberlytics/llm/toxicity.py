@@ -10,9 +10,10 @@ id. The weights have a fixed size and are broadcast. Scoring runs over whole tex
 A filter is linear in its words, so each (filter, offset) pair is a table from word to number, and a
 text is scored by adding table rows: the same convolution without a product per word.
 
-Thresholds are calibrated by language: the lowest score at which at most CLEAN_LOSS of the clean
-training documents of that language would be rejected. Languages seldom seen take the threshold of
-all. Language decides only the threshold, never the score.
+Thresholds are calibrated by language, on all labelled clean documents that are neither held out nor
+trained on, scored in Spark: the lowest score at which at most CLEAN_LOSS of those of the language would be
+rejected (ranks are exact to 1 / RANKS of them). Languages seldom seen take the threshold of all. Language
+decides only the threshold, never the score.
 
 Results in special cases: null and empty texts have the score of a text of padding only; texts
 of any length count whole; ids or labels that are null are not learned from; repeated rows are
@@ -45,6 +46,8 @@ MEMO = 300_000
 SEEN = 3
 THRESHOLD = 0.7
 CLEAN_LOSS = 0.01
+# Accuracy of the ranks behind the thresholds.
+RANKS = 100_000
 # Clean documents of a language below which it has no threshold of its own.
 LEAST = 100
 
@@ -187,42 +190,55 @@ def train(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7, epochs: in
     return model
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """`doc_id`, `label` outside the held-out fold."""
+    return labels.select("doc_id", F.col("toxic").alias("label")).where(F.col("label").isin(0, 1) & (fold() != 1)).distinct()
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list:
-    """(text, lang, label) of at most `sample` labelled documents per class outside the held-out fold."""
-    known = labels.select("doc_id", F.col("toxic").alias("label")).where(F.col("label").isin(0, 1) & (fold() != 1)).distinct()
+    """(doc_id, label, text) of at most `sample` labelled documents per class outside the held-out fold."""
+    known = known_labels(labels)
     # At most twice `sample` rows, so the join may broadcast them.
     chosen = [
         known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for label in (0, 1)
     ]
-    texts = docs.select("doc_id", "text", *(["lang"] if "lang" in docs.columns else [F.lit(None).cast("string").alias("lang")]))
-    rows = texts.join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id").dropDuplicates(["doc_id", "label"])
-    return rows.select("doc_id", "label", "text", "lang").orderBy("doc_id", "label").collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id").dropDuplicates(["doc_id", "label"])
+    return rows.select("doc_id", "label", "text").orderBy("doc_id", "label").collect()
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, langs: list[str | None]) -> dict[str | None, float]:
-    """Threshold per language; under None that of all."""
-    clean = labels == 0
-    named = {}
-    for lang in [None, *sorted({x for x in langs if x is not None})]:
-        own = scores[clean & np.array([lang is None or x == lang for x in langs])]
-        if lang is None or len(own) >= LEAST:
-            # Never under one half: a score that says "clean" rejects nothing.
-            named[lang] = max(0.5, float(np.quantile(own, 1 - CLEAN_LOSS))) if len(own) else 0.5
-    return named
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model, list[int]] | None:
+    """The model, and the ids of the documents that taught it."""
+    rows = training_rows(docs, labels, sample)
+    # Every fifth document is left to the thresholds; the others teach.
+    taught = [row for k, row in enumerate(rows) if k % 5 != 4]
+    y = np.array([row.label for row in taught])
+    if len({row.label for row in rows}) < 2:
+        return None
+    return train([word_ids(row.text) for row in taught], y), [row.doc_id for row in taught]
+
+
+def calibrate(docs: DataFrame, labels: DataFrame, taught: list[int], scores: DataFrame) -> dict[str | None, float]:
+    """Threshold per language, from `scores` (`doc_id`, `sign`, `score`) of all rows; under None that of all."""
+    clean = known_labels(labels).where("label = 0").select("doc_id")
+    of_model = docs.sparkSession.createDataFrame([(i,) for i in taught], "doc_id bigint")
+    clean = clean.join(F.broadcast(of_model), "doc_id", "left_anti")
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    langs = docs.select("doc_id", lang.alias("lang"), F.xxhash64("text").alias("sign")).join(clean, "doc_id").distinct()
+    own = langs.join(scores, ["doc_id", "sign"])
+    columns = [F.count(F.lit(1)).alias("n"), F.percentile_approx("score", 1 - CLEAN_LOSS, RANKS).alias("score")]
+    found = [(None, row) for row in own.agg(*columns).collect()]
+    found += [(row.lang, row) for row in own.where("lang IS NOT NULL").groupBy("lang").agg(*columns).where(F.col("n") >= LEAST).collect()]
+    # Just over that score, so equals of it stay; never under one half: a score that says "clean" rejects nothing.
+    return {lang: max(0.5, float(np.nextafter(row.score, 2))) if row.n else 0.5 for lang, row in found}
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model, dict[str | None, float]] | None:
-    rows = training_rows(docs, labels, sample)
-    y = np.array([row.label for row in rows])
-    if len(set(y.tolist())) < 2:
+    learned = learn(docs, labels, sample)
+    if not learned:
         return None
-    ids = [word_ids(row.text) for row in rows]
-    # Every fifth document calibrates the thresholds; the others teach.
-    held = np.arange(len(rows)) % 5 == 4
-    model = train([x for x, out in zip(ids, held, strict=True) if not out], y[~held])
-    tables = model.tables()
-    scores = np.array([model.score(x, tables) for x, out in zip(ids, held, strict=True) if out])
-    return model, calibrate(scores, y[held], [row.lang for row, out in zip(rows, held, strict=True) if out])
+    model, taught = learned
+    judged = docs.join(known_labels(labels).where("label = 0").select("doc_id"), "doc_id", "left_semi")
+    return model, calibrate(docs, labels, taught, scored(judged, model).distinct())
 
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -241,11 +257,13 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`docs` without those at or over the threshold of their language (all of them without labels)."""
-    fitted = fit(docs, labels)
-    if not fitted:
+    learned = learn(docs, labels)
+    if not learned:
         return docs
-    model, thresholds = fitted
-    scores = cut(scored(docs, model), "toxicity").toDF("_doc_id", "_sign", "_score").distinct()
+    model, taught = learned
+    scores = cut(scored(docs, model).distinct(), "toxicity")
+    thresholds = calibrate(docs, labels, taught, scores)
+    scores = scores.toDF("_doc_id", "_sign", "_score")
     limit = F.lit(thresholds[None])
     if "lang" in docs.columns:
         for lang, threshold in thresholds.items():
@@ -256,8 +274,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    fitted = fit(docs, table(spark, sf_dir, "labels"))
-    return scored(docs, fitted[0] if fitted else None).select(
+    learned = learn(docs, table(spark, sf_dir, "labels"))
+    return scored(docs, learned[0] if learned else None).select(
         "doc_id",
         F.coalesce(fold() == 1, F.lit(False)).alias("held_out"),
         "score",

@@ -337,6 +337,26 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.scored(nothing, model).count() == 0
 
 
+def test_thresholds_stand_on_all_labelled_rows(spark):
+    rng = random.Random(8)
+    langs = {i: ("en", "de", "fr")[i % 3] for i in range(3000)}
+    toxic = {i: int(i % 10 == 0) for i in langs}
+    texts = {i: " ".join(rng.choices(WORDS, k=20) + ["idiot"] * (2 * toxic[i] or rng.random() < 0.05)) for i in langs}
+    docs = spark.createDataFrame([(i, texts[i], langs[i], 7, 0.5) for i in langs], SCHEMA)
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id bigint, toxic int")
+    model, thresholds = toxicity.fit(docs, labels, sample=200)
+    assert set(thresholds) == {None, "en", "de", "fr"}
+    taught = set(toxicity.learn(docs, labels, sample=200)[1])
+    for lang, limit in thresholds.items():
+        own = [
+            model.score(toxicity.word_ids(texts[i])) for i in langs
+            if lang in (None, langs[i]) and not toxic[i] and i not in taught and zlib.crc32(str(i).encode()) % 3 != 1
+        ]
+        assert len(own) > 400 and sum(s >= limit + 1e-6 for s in own) <= 0.01 * len(own)
+        # No lower threshold above one half does.
+        assert limit == 0.5 or sum(s >= limit - 1e-4 for s in own) > 0.01 * len(own)
+
+
 def test_nearest_neighbours(spark, nothing):
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((20, 16))
