@@ -14,7 +14,7 @@ shuffle, where adaptive execution splits frequent seeds.
 
 Results in special cases: null and empty texts have no words and are clean; items under WINDOW words
 are too short to tell and match nothing; repeated rows, and repeated items, are each reported once;
-rows without a `doc_id` are searched like others, and the result holds them under null; extra columns
+rows without a `doc_id`, and items without an `item_id`, are searched like others, and the result holds them under null; extra columns
 are ignored, also where both tables have one of the same name.
 """
 
@@ -37,6 +37,11 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda word: F.xxhash64(word))
 
 
+def sign() -> Column:
+    """Hash of the id and text of a document."""
+    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+
+
 def seeds(hashes: str) -> Column:
     """Array of (seed, position) of all masks at all positions."""
     size = F.size(hashes)
@@ -53,17 +58,23 @@ def seeds(hashes: str) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
+    """`item` (a key of id and words, never null), `item_id`, `item_words`."""
     items = benchmark.select("item_id", word_hashes(F.coalesce("text", F.lit(""))).alias("item_words")).distinct()
-    return items.where(F.size("item_words") >= WINDOW)
+    return items.where(F.size("item_words") >= WINDOW).select(F.xxhash64("item_id", "item_words").alias("item"), "item_id", "item_words")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """`doc_id`, `item_id`, `doc_start` (place of the item's first word in the document, maybe
+    """As `signed_overlaps`, without the sign."""
+    return signed_overlaps(docs, benchmark).drop("sign").distinct()
+
+
+def signed_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """`sign` (hash of id and text), `doc_id`, `item_id`, `doc_start` (place of the item's first word in the document, maybe
     negative), `n_aligned`, `n_equal` words of each contaminating alignment."""
     items = cut(benchmark_items(benchmark), "items")
     of_items = cut(
-        items.select("item_id", F.size("item_words").alias("n"), F.explode(seeds("item_words")).alias("s"))
-        .select(F.col("s.seed").alias("seed"), "item_id", F.col("s.at").alias("item_at"), "n")
+        items.select("item", F.size("item_words").alias("n"), F.explode(seeds("item_words")).alias("s"))
+        .select(F.col("s.seed").alias("seed"), "item", F.col("s.at").alias("item_at"), "n")
         .distinct(),
         "item_seeds",
     )
@@ -71,28 +82,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         of_items = F.broadcast(of_items)
 
     # Rows are told apart by id and text: repeated rows are one document.
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("sign", F.xxhash64("doc_id", "text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("sign", sign())
     hashed = texts.select("sign", word_hashes(F.col("text")).alias("doc_words"))
     placed = hashed.select("sign", F.inline(seeds("doc_words")))
     hits = (
         placed.join(of_items, "seed")
-        .select("sign", "item_id", (F.col("at") - F.col("item_at")).alias("doc_start"), "n")
+        .select("sign", "item", (F.col("at") - F.col("item_at")).alias("doc_start"), "n")
         .distinct()
     )
     # Hits of a document are few: at most one per alignment.
-    per_doc = cut(hits.groupBy("sign").agg(F.collect_list(F.struct("item_id", "doc_start", "n")).alias("hits")), "hits")
+    per_doc = cut(hits.groupBy("sign").agg(F.collect_list(F.struct("item", "doc_start", "n")).alias("hits")), "hits")
 
-    found = texts.join(per_doc, "sign").select("doc_id", word_hashes(F.col("text")).alias("doc_words"), "hits")
+    found = texts.join(per_doc, "sign").select("sign", "doc_id", word_hashes(F.col("text")).alias("doc_words"), "hits")
 
     def sliced(hit: Column) -> Column:
         begin = F.greatest(hit["doc_start"], F.lit(0))
         end = F.least(hit["doc_start"] + hit["n"], F.size("doc_words"))
-        return F.struct(hit["item_id"], hit["doc_start"], (begin - hit["doc_start"]).alias("skip"), F.slice("doc_words", begin + 1, end - begin).alias("there"))
+        return F.struct(hit["item"], hit["doc_start"], (begin - hit["doc_start"]).alias("skip"), F.slice("doc_words", begin + 1, end - begin).alias("there"))
 
-    rows = found.select("doc_id", F.inline(F.transform("hits", sliced))).join(items, "item_id")
+    rows = found.select("sign", "doc_id", F.inline(F.transform("hits", sliced))).join(items, "item")
     length = F.size("there")
     same = F.zip_with("there", F.slice("item_words", F.col("skip") + 1, length), lambda a, b: (a == b).cast("int"))
-    compared = rows.select("doc_id", "item_id", "doc_start", length.alias("n_aligned"), same.alias("same"))
+    compared = rows.select("sign", "doc_id", "item_id", "doc_start", length.alias("n_aligned"), same.alias("same"))
 
     def intact(at: Column) -> Column:
         return F.aggregate(F.slice("same", at, WINDOW), F.lit(0), lambda total, x: total + x) >= WINDOW - SUBSTITUTIONS
@@ -100,13 +111,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     enough = compared.where(F.col("n_aligned") >= WINDOW)
     enough = enough.where(F.exists(F.sequence(F.lit(1), F.col("n_aligned") - WINDOW + 1), intact))
     equal = F.aggregate("same", F.lit(0), lambda total, x: total + x)
-    return enough.select("doc_id", "item_id", "doc_start", "n_aligned", equal.alias("n_equal")).distinct()
+    return enough.select("sign", "doc_id", "item_id", "doc_start", "n_aligned", equal.alias("n_equal")).distinct()
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without an overlap; rows without a `doc_id` are judged together."""
-    dirty = overlaps(docs, benchmark).select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("_dirty")), "left_anti")
+    """Documents without an overlap; each row is judged by its own text."""
+    dirty = signed_overlaps(docs, benchmark).select(F.col("sign").alias("_dirty")).distinct()
+    return docs.join(dirty, sign() == F.col("_dirty"), "left_anti")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -257,6 +257,18 @@ def test_decontamination(spark, docs, nothing):
     assert decontamination.overlaps(nothing, bench).count() == 0
 
 
+def test_decontamination_judges_each_row_by_its_own_text(spark):
+    rng = random.Random(12)
+    item, nameless = prose(rng, 20), prose(rng, 20)
+    bench = spark.createDataFrame([(1, item), (None, nameless)], "item_id bigint, text string")
+    rows = [(None, item), (None, "clean a"), (5, item), (5, "clean b"), (6, nameless), (7, None)]
+    docs = spark.createDataFrame([(i, t, "en", 7, 0.5) for i, t in rows], SCHEMA)
+    clean = decontamination.clean_documents(docs, bench)
+    assert {(r.doc_id, r.text) for r in clean.collect()} == {(None, "clean a"), (5, "clean b"), (7, None)}
+    found = {(r.doc_id, r.item_id) for r in decontamination.overlaps(docs, bench).collect()}
+    assert found == {(None, 1), (5, 1), (6, None)}
+
+
 def test_secrets(spark, docs, rows, nothing):
     rng = random.Random(4)
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
