@@ -290,6 +290,20 @@ def test_secrets(spark, docs, rows, nothing):
     assert credentials.find_secrets(nothing).count() == 0
 
 
+def test_a_format_rare_among_many_credentials_is_learned(spark):
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    common = lambda: "".join(rng.choices("GHIJKLMNOP", k=20))
+    rare = lambda: "-".join("".join(rng.choices("0123456789", k=4)) for _ in range(5))
+    texts = [f"token={common()}" for _ in range(20_000)] + [f"token={rare()}" for _ in range(40)]
+    texts += [f"see {''.join(rng.choices(letters, k=18))} there" for _ in range(300)] + [f"bare {rare()} here"]
+    docs = spark.createDataFrame([(i, t, "en", 7, 0.5) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.spans for r in credentials.find_secrets(docs).collect()}
+    assert got[20_340] == "format:5:29"
+    counts = {(r.kind, r.form): r.n for r in credentials.labelled(docs).collect()}
+    assert (counts[0, "L" * 20], counts[0, "-".join(["dddd"] * 5)]) == (20_000, 40)
+
+
 def test_personal_data(spark, docs, rows, nothing):
     text = "a@b.c_d@e.f x@y..z 1.2.3.4.5.6.7.8 0300.1.1.1 007.08.09.255 1.2.3.256 +1 (222) 333-4444 +1-2 4111 1111-1111 1111 é🎉 me@é.com"
     text += " foo@bar.com, GB82 WEST 1234 5698 7654 32 GB83 WEST 1234 5698 7654 32 ssn 123-45-6789"
