@@ -8,6 +8,7 @@ from memberlytics.llm.neighbours import op7_nearest_neighbours
 from memberlytics.llm.packing import op1_best_fit_packing
 from memberlytics.llm.pii import op10_pii
 from memberlytics.llm.repair import op4_token_ids
+from memberlytics.llm.rules import op12_quality_rules
 from memberlytics.llm.simhash import op8_simhash
 from memberlytics.llm.substring import op5_substring_dedup
 from memberlytics.llm.toxicity import op6_toxicity
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_pii": op10_pii,
+    "op12_quality_rules": op12_quality_rules,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": lines.ORACLE,
