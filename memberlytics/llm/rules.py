@@ -129,7 +129,8 @@ def ratio_weights(docs: DataFrame, labels: DataFrame, size: int = BUCKETS, smoot
     """`bucket`, `weight`: the logarithm of trusted over raw probability, in millionths; a row per bucket."""
     trusted = labels.where("quality = 1").select("doc_id").distinct()
     raw = bucket_counts(docs, "raw", size)
-    target = bucket_counts(docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi"), "target", size)
+    # Merged at every size: both sides grow with the documents, so a broadcast would only suit small tables.
+    target = bucket_counts(docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left_semi"), "target", size)
     every = docs.sparkSession.range(size).select(F.col("id").cast("int").alias("bucket"))
     counts = every.join(raw, "bucket", "left").join(target, "bucket", "left").fillna(0, ["raw", "target"])
     # BUCKETS rows, so the totals and the array are small whatever the corpus.
