@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from memberlytics.llm import decontamination, lines
 from memberlytics.llm.credentials import op3_secret_scan
+from memberlytics.llm.manifest import op13_merkle_manifest
 from memberlytics.llm.neighbours import op7_nearest_neighbours
 from memberlytics.llm.packing import op1_best_fit_packing
 from memberlytics.llm.pii import op10_pii
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_pii": op10_pii,
     "op12_quality_rules": op12_quality_rules,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES: dict[str, str] = {
     "op2_line_dedup": lines.ORACLE,
