@@ -10,6 +10,7 @@ from memberlytics.llm.packing import op1_best_fit_packing
 from memberlytics.llm.pii import op10_pii
 from memberlytics.llm.repair import op4_token_ids
 from memberlytics.llm.rules import op12_quality_rules
+from memberlytics.llm.runs import op11_periodic_runs
 from memberlytics.llm.simhash import op8_simhash
 from memberlytics.llm.substring import op5_substring_dedup
 from memberlytics.llm.toxicity import op6_toxicity
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_quality_rules": op12_quality_rules,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
