@@ -127,6 +127,16 @@ TABLES: dict[str, str] = {
           CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN TIMESTAMP '2024-01-30 11:00:00' ELSE TIMESTAMP '2024-01-30 11:50:00' END AS claimed_started_at,
           CASE o_orderkey % 8 WHEN 0 THEN TIMESTAMP '2024-01-30 11:55:00' END AS claimed_done_at
         FROM {orders} WHERE o_orderstatus = 'F'""",
+    # The same state with a second analyzer version, and with outbox rows of another type.
+    "consultation_analysis_mixed": """
+        SELECT analysis_id, case_id, analyzer_version, job_instance_id, updated_at FROM {consultation_analysis}
+        UNION ALL SELECT analysis_id + 1000000000, case_id, CAST(2 AS BIGINT), job_instance_id, updated_at
+        FROM {consultation_analysis} WHERE case_id % 5 < 2""",
+    "analysis_dispatch_outbox_mixed": """
+        SELECT request_id, job_instance_id, chunk_id, analysis_version, dispatch_status, attempt_count, next_retry_at, last_error,
+          created_at, updated_at, CASE WHEN attempt_count = 1 THEN 'RESULT' ELSE type END AS type, claim_token,
+          claimed_started_at, claimed_done_at
+        FROM {analysis_dispatch_outbox}""",
 }
 
 DIALECTS = {
@@ -155,7 +165,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "event_log":
         properties = "named_struct('product_type', product_type, 'tags', tags) AS event_properties"
         return df.selectExpr("member_id", "event_name", "timestamp", properties, "dt")
-    return df.to(SCHEMAS[name])
+    return df.to(SCHEMAS[name.removesuffix("_mixed")])
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:

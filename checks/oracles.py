@@ -232,6 +232,19 @@ SHARED: dict[str, str] = {
     "waiting_targets": """
         SELECT k.analysis_id, k.case_id, k.analyzer_version, request_id FROM keyed k JOIN analysis_dispatch_outbox o USING (request_id)
         WHERE o.claim_token = 3 AND o.dispatch_status IN ('READY', 'RETRY') AND o.claimed_done_at IS NULL""",
+    "mixed_keyed": "SELECT *, sha256(case_id || ':' || analyzer_version) AS request_id FROM consultation_analysis_mixed",
+    # Requests that a row of their own type holds back.
+    "mixed_held": f"""
+        SELECT request_id FROM analysis_dispatch_outbox_mixed
+        WHERE type = 'REQUEST' AND (dispatch_status NOT IN ('READY', 'RETRY') OR next_retry_at > {NOW}
+          OR (claimed_done_at IS NULL AND claimed_started_at >= {NOW} - INTERVAL 1800 SECOND))""",
+    "mixed_open": """
+        SELECT analysis_id, case_id, analyzer_version, request_id FROM mixed_keyed
+        WHERE analyzer_version = 1 AND request_id NOT IN (SELECT request_id FROM mixed_held)""",
+    "mixed_answered": """
+        SELECT o.*, case_id FROM analysis_dispatch_outbox_mixed o JOIN mixed_keyed k USING (request_id)
+        WHERE type = 'REQUEST' AND analyzer_version = 1 AND case_id % 3 <> 0""",
+    "mixed_taken": "SELECT * FROM mixed_open ORDER BY analysis_id LIMIT 1000",
 }
 
 
@@ -377,6 +390,28 @@ SELECTS: dict[str, str] = {
         FROM (SELECT request_id, case_id, coalesce(o.attempt_count, 0) AS attempts, o.created_at
           FROM (SELECT request_id, case_id FROM open_rows UNION ALL SELECT sha256(case_id || ':1'), case_id FROM fresh) c
           LEFT JOIN analysis_dispatch_outbox o USING (request_id)) tried""",
+    "backlog_mixed": "SELECT * FROM mixed_open",
+    "backlog_second_version": "SELECT analysis_id, case_id, analyzer_version, request_id FROM mixed_keyed WHERE analyzer_version = 2",
+    "claim_chunk_mixed": f"""
+        SELECT {OUTBOX_COLUMNS} FROM analysis_dispatch_outbox_mixed WHERE request_id NOT IN (SELECT request_id FROM mixed_taken)
+        UNION ALL SELECT t.request_id, 7, '900', '1', 'READY', coalesce(o.attempt_count, 0), NULL, NULL, coalesce(o.created_at, {NOW}), {NOW}, 'REQUEST', 900, {NOW}, NULL
+        FROM mixed_taken t LEFT JOIN analysis_dispatch_outbox_mixed o USING (request_id)""",
+    "claimed_targets_mixed": """
+        SELECT k.analysis_id, k.case_id, k.analyzer_version, request_id FROM mixed_keyed k JOIN analysis_dispatch_outbox_mixed o USING (request_id)
+        WHERE o.claim_token = 3 AND o.type = 'REQUEST' AND o.dispatch_status IN ('READY', 'RETRY') AND o.claimed_done_at IS NULL""",
+    "apply_results_unanswered": f"""
+        SELECT {OUTBOX_COLUMNS} FROM analysis_dispatch_outbox_mixed WHERE request_id NOT IN (SELECT request_id FROM mixed_answered)
+        UNION ALL SELECT request_id, o.job_instance_id, chunk_id, analysis_version, a.dispatch_status, a.attempt_count, a.next_retry_at, a.last_error,
+          created_at, {NOW}, type, claim_token, claimed_started_at, a.claimed_done_at
+        FROM mixed_answered o JOIN ({attempted("mixed_answered")} FROM mixed_answered) a USING (request_id)""",
+    "drain_dispatch_mixed": f"""
+        SELECT request_id, dispatch_status, attempt_count, next_retry_at, last_error, claimed_done_at, created_at, type
+        FROM analysis_dispatch_outbox_mixed WHERE request_id NOT IN (SELECT request_id FROM mixed_open)
+        UNION ALL {attempted("tried", "attempts")}, coalesce(created_at, {NOW}) AS created_at, 'REQUEST' AS type
+        FROM (SELECT request_id, case_id, coalesce(o.attempt_count, 0) AS attempts, o.created_at
+          FROM (SELECT request_id, case_id FROM mixed_open UNION ALL SELECT sha256(case_id || ':1'), case_id FROM fresh) c
+          LEFT JOIN analysis_dispatch_outbox_mixed o USING (request_id)) tried""",
+    "table_read": "SELECT * FROM subscription",
     "index_counts": "SELECT (SELECT count(*) FROM member) AS member_count, "
     + ", ".join(
         f"(SELECT count(*) FROM {source} WHERE snapshot_date = {TODAY}) AS {name}_count"
@@ -424,5 +459,8 @@ def statement(select: str) -> str:
 # Repeated rows change nothing.
 SELECTS["insert_ignore_repeated"] = SELECTS["insert_ignore"]
 SELECTS["apply_results_repeated"] = SELECTS["apply_results"]
+# Nor do stored sums per day, or a drain that was broken off and finished.
+SELECTS["p1_event_features_incremental"] = SELECTS["p1_event_features"]
+SELECTS["drain_dispatch_resumed"] = SELECTS["drain_dispatch"]
 
 ORACLES = {name: statement(select) for name, select in SELECTS.items()}

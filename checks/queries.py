@@ -24,11 +24,12 @@ from memberlytics.operators import (
     subscriptions,
 )
 from memberlytics.params import RunParams, previous_month
-from memberlytics.plans.dispatch import run_dispatch
-from memberlytics.plans.event_features import store_event_features
+from memberlytics.plans.dispatch import ANALYSES, OUTBOX, run_dispatch, run_stored_dispatch
+from memberlytics.plans.event_features import run_event_features, store_event_features
 from memberlytics.plans.weekly_index import run_weekly_index
 from memberlytics.schemas import SCHEMAS
 from memberlytics.sources import event_logs, features_csv, messages, versions
+from memberlytics.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,6 +137,21 @@ def p1_event_features(spark, sf_dir):
     return events.build_event_features(scanned_events(spark, sf_dir), AS_OF)
 
 
+@query
+def p1_event_features_incremental(spark, sf_dir):
+    """The same from stored sums per arrival day, for one snapshot date after the other, the log growing in between."""
+    folder = f"{versions.shared_folder(spark)}/incremental-{uuid.uuid4().hex}"
+    path, store, log = f"{folder}/log", f"{folder}/store", table(spark, sf_dir, "event_log")
+    before = date.min
+    for day in FEATURE_DATES:
+        arrived = F.col("dt").cast("date")
+        new = log.where((arrived > F.lit(before)) & (arrived <= F.lit(day)))
+        new.repartitionByRange("dt", "timestamp").write.mode("append").partitionBy("dt").parquet(path)
+        stored = run_event_features(spark, path, store, RunParams(day, previous_month(day)), incremental=True)
+        before = day
+    return stored.orderBy("member_id")
+
+
 # -- index inputs -------------------------------------------------------------------------------
 
 
@@ -522,6 +538,80 @@ def drain_dispatch(spark, sf_dir):
     )
 
 
+@query
+def drain_dispatch_resumed(spark, sf_dir):
+    """The outbox after a stored drain whose delivery breaks in its second wave, and the start that finishes it."""
+    cases, analyses, outbox = _state(spark, sf_dir)
+    store = f"{versions.shared_folder(spark)}/drain-{uuid.uuid4().hex}"
+    versions.replace_tables({ANALYSES: analyses, OUTBOX: outbox}, store)
+    waves = []
+
+    def breaking(sent: DataFrame) -> DataFrame:
+        waves.append(sent)
+        if len(waves) == 2:
+            raise ConnectionError("delivery breaks")
+        return _deliver(sent)
+
+    settings = {"version": VERSION, "job": JOB, "now": NOW, "first_token": TOKEN, "chunk": CHUNK, "wave_rounds": 1}
+    try:
+        drained = run_stored_dispatch(cases, store, breaking, **settings)
+    except ConnectionError:
+        drained = run_stored_dispatch(cases, store, _deliver, **settings)
+    return drained.outbox.select(
+        "request_id", "dispatch_status", "attempt_count", "next_retry_at", "last_error", "claimed_done_at", "created_at"
+    )
+
+
+# The same operators where the outbox holds rows of another type and there is a second analyzer version.
+
+
+def _mixed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    names = ["support_case", "consultation_analysis_mixed", "analysis_dispatch_outbox_mixed"]
+    cases, analyses, outbox = tables(spark, sf_dir, *names).values()
+    return cases, analyses, outbox
+
+
+@query
+def backlog_mixed(spark, sf_dir):
+    _, analyses, outbox = _mixed(spark, sf_dir)
+    return dispatch.backlog(analyses, outbox, VERSION, NOW, CLAIM.lease_sec)
+
+
+@query
+def backlog_second_version(spark, sf_dir):
+    _, analyses, outbox = _mixed(spark, sf_dir)
+    return dispatch.backlog(analyses, outbox, 2, NOW, CLAIM.lease_sec)
+
+
+@query
+def claim_chunk_mixed(spark, sf_dir):
+    return dispatch.claim_chunk(*_mixed(spark, sf_dir), CLAIM).outbox
+
+
+@query
+def claimed_targets_mixed(spark, sf_dir):
+    _, analyses, outbox = _mixed(spark, sf_dir)
+    return dispatch.claimed_targets(analyses, outbox, 3)
+
+
+@query
+def apply_results_unanswered(spark, sf_dir):
+    """Two of three cases are answered, and rows of another type stay as they are."""
+    _, analyses, outbox = _mixed(spark, sf_dir)
+    answered = analyses.where("analyzer_version = 1 AND case_id % 3 <> 0")
+    key = dispatch.request_id(F.col("case_id"), F.col("analyzer_version"))
+    results = _deliver(messages.to_request_messages(answered.withColumn("request_id", key)))
+    return dispatch.apply_results(outbox, results, NOW)
+
+
+@query
+def drain_dispatch_mixed(spark, sf_dir):
+    drained = run_dispatch(*_mixed(spark, sf_dir), _deliver, VERSION, JOB, NOW, TOKEN, CHUNK)
+    return drained.outbox.select(
+        "request_id", "dispatch_status", "attempt_count", "next_retry_at", "last_error", "claimed_done_at", "created_at", "type"
+    )
+
+
 # -- checks and sinks ---------------------------------------------------------------------------
 
 
@@ -576,6 +666,14 @@ def features_csv_roundtrip(spark, sf_dir):
     return features_csv.read_features_csv(spark, path)
 
 
+@query
+def table_read(spark, sf_dir):
+    """A stored table read under its fixed schema."""
+    root = f"{versions.shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    table(spark, sf_dir, "subscription").write.parquet(f"{root}/subscription")
+    return read_table(spark, root, "subscription")
+
+
 @query
 def pruned_event_scan(spark, sf_dir):
     """The event log written by arrival day, then scanned for the window of the snapshot date."""

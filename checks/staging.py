@@ -8,7 +8,7 @@ from checks.inputs import TABLES, table
 from memberlytics.sources.tables import read_table
 
 EVENT_LOG = "customer_event_logs_raw"
-SOURCES = [name for name in TABLES if name != "event_log"]
+SOURCES = [name for name in TABLES if name != "event_log" and not name.endswith("_mixed")]
 
 
 def stage(spark: SparkSession, sf_dir: str, root: str) -> None:

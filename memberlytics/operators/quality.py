@@ -1,8 +1,12 @@
-"""Data-quality checks: each is a one-row DataFrame; `require_*` raises on a bad one."""
+"""Data-quality checks: each is a one-row DataFrame; `require_*` raises on a bad one.
+
+What a check counts is also there as columns (`*_counts`), so that a job can have it counted while it
+writes a snapshot; `require_*` takes such counts as well.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -38,17 +42,48 @@ def check_index_counts(member: DataFrame, raw: DataFrame, tscores: DataFrame, pe
     )
 
 
-def check_nulls(df: DataFrame, columns: Sequence[str], as_of: date) -> DataFrame:
-    """Rows of one snapshot date with a null in any of `columns`."""
+def row_counts() -> dict[str, Column]:
+    return {"row_count": F.count(F.lit(1))}
+
+
+def null_counts(columns: Sequence[str]) -> dict[str, Column]:
     missing = F.lit(False)
     for column in columns:
         missing = missing | F.col(column).isNull()
-    return _of_date(df, as_of).agg(F.count_if(missing).alias("null_count"))
+    return {"null_count": F.count_if(missing)}
+
+
+def context_counts() -> dict[str, Column]:
+    segment = F.col("segment")
+    return {
+        "context_count": F.count(F.lit(1)),
+        "null_pk_count": F.count_if(F.col("member_id").isNull()),
+        "invalid_segment_count": F.count_if(segment.isNull() | ~segment.isin(SEGMENTS)),
+        "null_product_types_count": F.count_if(F.col("current_product_types").isNull()),
+    }
+
+
+def _named(counts: Mapping[str, Column]) -> list[Column]:
+    return [count.alias(name) for name, count in counts.items()]
+
+
+def check_nulls(df: DataFrame, columns: Sequence[str], as_of: date) -> DataFrame:
+    """Rows of one snapshot date with a null in any of `columns`."""
+    return _of_date(df, as_of).agg(*_named(null_counts(columns)))
 
 
 def check_not_empty(df: DataFrame, as_of: date) -> DataFrame:
     """Rows of one snapshot date."""
-    return _of_date(df, as_of).agg(F.count(F.lit(1)).alias("row_count"))
+    return _of_date(df, as_of).agg(*_named(row_counts()))
+
+
+def eligible_count(subscription: DataFrame, product: DataFrame) -> DataFrame:
+    """Members with any mobile plan subscription switched on."""
+    plans = product.where(F.col("product_type") == "MOBILE_PLAN").select("product_id", F.lit(True).alias("is_plan"))
+    # Few products hold most subscriptions. Which products are plans matters here, not their details.
+    switched_on = subscription.where(F.col("status")).select("subscription_id", "member_id", "product_id")
+    eligible = join_lookup(switched_on, plans.distinct(), "product_id", spread_by="subscription_id")
+    return eligible.select(F.count_distinct("member_id").alias("eligible_count"))
 
 
 def check_member_context(
@@ -60,39 +95,34 @@ def check_member_context(
     does, and profiles of former members stay in the table: a mismatch can be harmless. Pass the
     rows a run has built as `built` to have their number reported too.
     """
-    plans = product.where(F.col("product_type") == "MOBILE_PLAN").select("product_id", F.lit(True).alias("is_plan"))
-    # Few products hold most subscriptions. Which products are plans matters here, not their details.
-    switched_on = subscription.where(F.col("status")).select("subscription_id", "member_id", "product_id")
-    eligible = join_lookup(switched_on, plans.distinct(), "product_id", spread_by="subscription_id")
-    segment = F.col("segment")
-    check = context.agg(
-        F.count(F.lit(1)).alias("context_count"),
-        F.count_if(F.col("member_id").isNull()).alias("null_pk_count"),
-        F.count_if(segment.isNull() | ~segment.isin(SEGMENTS)).alias("invalid_segment_count"),
-        F.count_if(F.col("current_product_types").isNull()).alias("null_product_types_count"),
-    ).select(eligible.select(F.count_distinct("member_id")).scalar().alias("eligible_count"), "*")
+    eligible = eligible_count(subscription, product).scalar()
+    check = context.agg(*_named(context_counts())).select(eligible.alias("eligible_count"), "*")
     return check if built is None else check.withColumn("built_count", _count(built))
 
 
-def require_index_counts(check: DataFrame) -> None:
-    row = check.first()
-    if len(set(row)) != 1:
-        raise CheckFailed(f"snapshot row counts differ: {row.asDict()}")
+def _counts(check: DataFrame | Mapping[str, int]) -> Mapping[str, int]:
+    return check.first().asDict() if isinstance(check, DataFrame) else check
+
+
+def require_index_counts(check: DataFrame | Mapping[str, int]) -> None:
+    counts = _counts(check)
+    if len(set(counts.values())) != 1:
+        raise CheckFailed(f"snapshot row counts differ: {counts}")
 
 
-def require_no_nulls(check: DataFrame, what: str) -> None:
-    nulls = check.first()["null_count"]
+def require_no_nulls(check: DataFrame | Mapping[str, int], what: str) -> None:
+    nulls = _counts(check)["null_count"]
     if nulls:
         raise CheckFailed(f"{nulls} {what} rows have a null in a required column")
 
 
-def require_not_empty(check: DataFrame, what: str) -> None:
-    if not check.first()["row_count"]:
+def require_not_empty(check: DataFrame | Mapping[str, int], what: str) -> None:
+    if not _counts(check)["row_count"]:
         raise CheckFailed(f"the {what} snapshot is empty")
 
 
-def require_member_context(check: DataFrame) -> None:
-    row = check.first().asDict()
+def require_member_context(check: DataFrame | Mapping[str, int]) -> None:
+    row = _counts(check)
     if row["eligible_count"] != row["context_count"]:
         raise CheckFailed(f"{row['eligible_count']} eligible members but {row['context_count']} profiles: {row}")
     for name in ("null_pk_count", "invalid_segment_count", "null_product_types_count"):

@@ -6,6 +6,7 @@ on the first run, so only what it reads is required to exist.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ INDEX_EXTRA = ["persona_type"]
 def event_features_job(spark: SparkSession, root: str, store: str, snapshot_date: str | None = None) -> DataFrame:
     params = resolve_params(snapshot_date)
     require_tables(spark, [EVENT_LOG], root)
-    return run_event_features(spark, f"{root}/{EVENT_LOG}", store, params)
+    return run_event_features(spark, f"{root}/{EVENT_LOG}", store, params, incremental=True)
 
 
 def weekly_index_job(
@@ -68,11 +69,13 @@ def dispatch_job(
     chunk: int = DEFAULT_CHUNK,
     lease_sec: int = DEFAULT_LEASE_SEC,
     max_attempts: int = DEFAULT_MAX_ATTEMPTS,
+    clock: Callable[[], datetime] | None = None,
 ) -> Drained:
-    """Claim and deliver all that waits. Analyses and outbox live in `store`, where the first run creates them."""
+    """Claim and deliver all that waits, after finishing a run that has died. Analyses and outbox live in `store`,
+    where the first run creates them. With `clock`, failed requests that come due meanwhile are sent again."""
     require_tables(spark, [CASES], root)
     settings = {"chunk": chunk, "lease_sec": lease_sec, "max_attempts": max_attempts}
-    return run_stored_dispatch(read_table(spark, root, CASES), store, deliver, version=version, job=job, now=now, **settings)
+    return run_stored_dispatch(read_table(spark, root, CASES), store, deliver, version=version, job=job, now=now, clock=clock, **settings)
 
 
 def _inputs(

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 
 from memberlytics.operators.merging import require_unique, upsert_by_key
 from memberlytics.operators.profile import build_member_context
-from memberlytics.operators.quality import check_member_context, require_member_context
+from memberlytics.operators.quality import context_counts, eligible_count, require_member_context
 from memberlytics.params import RunParams
 from memberlytics.schemas import SCHEMAS
-from memberlytics.sources.versions import materialize, read_replaced, replace_table
+from memberlytics.sources.versions import materialize, read_replaced, replace_table_counted
 
 TABLE = "member_context"
 
@@ -33,7 +33,8 @@ def run_member_context(
     require_unique(built, ["member_id"])
 
     current = read_replaced(spark, root, SCHEMAS[TABLE])
-    stored = replace_table(upsert_by_key(current, built, ["member_id"]), root)
+    stored, counts = replace_table_counted(upsert_by_key(current, built, ["member_id"]), root, context_counts())
     if check:
-        require_member_context(check_member_context(tables["subscription"], tables["product"], stored, built))
+        eligible = eligible_count(tables["subscription"], tables["product"]).first().asDict()
+        require_member_context({**eligible, **counts, "built_count": built.count()})
     return stored

@@ -72,6 +72,9 @@ SCHEMAS = {
         + ", ".join(f"{c} bigint" for c in CLICK_COLUMNS)
         + ", product_type_clicks string, product_type_top_tags string"
     ),
+    "event_daily_partials": schema(
+        "snapshot_date date, member_id bigint, event_date date, event_name string, kind int, value string, n bigint"
+    ),
     "index_raw_snapshot": schema(f"snapshot_date date, member_id bigint, {_index('raw')}"),
     "index_tscore_snapshot": schema(f"snapshot_date date, member_id bigint, {_index('tscore')}"),
     "index_persona_snapshot": schema(

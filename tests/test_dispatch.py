@@ -12,6 +12,7 @@ from memberlytics.operators import dispatch as d
 from memberlytics.plans.dispatch import ANALYSES, OUTBOX, run_dispatch, run_stored_dispatch
 from memberlytics.schemas import SCHEMAS
 from memberlytics.sources.messages import to_request_messages
+from memberlytics.sources import versions
 from memberlytics.sources.versions import read_replaced, replace_table
 
 NOW = datetime(2024, 1, 30, 12)
@@ -211,3 +212,93 @@ def test_drain_takes_as_many_jobs_however_many_rounds(spark):
     few, many = jobs(20), jobs(2)
     assert (few[0], many[0]) == (2, 20) and few[2] == many[2] == 40
     assert many[1] <= few[1] + 2
+
+
+class Broker:
+    """Answers as `deliver` does, notes what it is sent, and breaks at some of its calls."""
+
+    def __init__(self, breaks=()):
+        self.sent, self.calls, self.breaks = [], 0, breaks
+
+    def __call__(self, messages):
+        self.calls += 1
+        if self.calls in self.breaks:
+            raise ConnectionError("broker gone")
+        self.sent.append([r.key for r in messages.collect()])
+        return deliver(messages)
+
+
+def stored_state(spark, store):
+    box = read_replaced(spark, f"{store}/{OUTBOX}", SCHEMAS[OUTBOX]).fillna("-")
+    return state_of(box, ["request_id", "dispatch_status", "attempt_count", "last_error"]), state_of(read_replaced(spark, f"{store}/{ANALYSES}", SCHEMAS[ANALYSES]), ["analysis_id", "case_id", "job_instance_id"])
+
+
+def test_a_drain_that_dies_is_finished_without_sending_twice(spark, tmp_path):
+    settings = {"version": 1, "job": 8, "now": NOW, "chunk": 3, "wave_rounds": 1}
+    plain, broken = str(tmp_path / "plain"), str(tmp_path / "broken")
+    for store in (plain, broken):
+        replace_table(analyses(spark, range(8)), f"{store}/{ANALYSES}")
+    whole = Broker()
+    expected = run_stored_dispatch(cases(spark, range(14)), plain, whole, **settings)
+    broker = Broker(breaks=(3,))
+    with pytest.raises(ConnectionError):
+        run_stored_dispatch(cases(spark, range(14)), broken, broker, **settings)
+    assert len(broker.sent) == 2 and read_replaced(spark, f"{broken}/{OUTBOX}", SCHEMAS[OUTBOX]).count() == 0
+    # The state is as before; the next start, at another time and for another job, finishes the run first.
+    later = {**settings, "job": 9, "now": NOW + 30 * SEC}
+    finished = run_stored_dispatch(cases(spark, range(14)), broken, broker, **later)
+    keys = [key for wave in broker.sent for key in wave]
+    assert len(keys) == len(set(keys)) == 14 and sorted(keys) == sorted(key for wave in whole.sent for key in wave)
+    assert (finished.published, finished.retried, finished.skipped) == (expected.published, expected.retried, len(broker.sent[0]) + len(broker.sent[1]))
+    assert stored_state(spark, broken) == stored_state(spark, plain)
+    assert expected.skipped == 0
+    third = run_stored_dispatch(cases(spark, range(14)), broken, broker, **later)
+    assert (third.published, third.retried, third.skipped) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("dies_at", ["tables", "end"])
+def test_analyses_and_outbox_change_together(spark, tmp_path, monkeypatch, dies_at):
+    store = str(tmp_path)
+    replace_table(analyses(spark, range(4)), f"{store}/{ANALYSES}")
+    before = stored_state(spark, store)
+    broker, settings = Broker(), {"version": 1, "job": 8, "now": NOW, "chunk": 3}
+
+    def dies(*args, **kwargs):
+        raise OSError("driver gone")
+
+    with monkeypatch.context() as patch:
+        if dies_at == "tables":  # both are written, nothing points to them yet
+            patch.setattr(versions, "_point", dies)
+        else:  # both are current, the journal does not know it
+            from memberlytics.plans import dispatch as plan
+
+            log_run = plan._log_run
+            patch.setattr(plan, "_log_run", lambda *a, ended: dies() if ended else log_run(*a, ended=ended))
+        with pytest.raises(OSError):
+            run_stored_dispatch(cases(spark, range(6)), store, broker, **settings)
+    after = stored_state(spark, store)
+    assert after == before if dies_at == "tables" else len(after[0]) == len(after[1]) == 6
+    run_stored_dispatch(cases(spark, range(6)), store, broker, **settings)
+    keys = [key for wave in broker.sent for key in wave]
+    assert len(keys) == len(set(keys)) == 6
+    outbox_rows, analysis_rows = stored_state(spark, store)
+    assert len(outbox_rows) == len(analysis_rows) == 6
+    assert {row[1] for row in outbox_rows} == {"SENT", "RETRY"} and {row[2] for row in outbox_rows} == {1}
+
+
+def test_failed_requests_are_sent_again_when_the_clock_reaches_them(spark, tmp_path):
+    store, broker = str(tmp_path), Broker()
+    replace_table(analyses(spark, range(6)), f"{store}/{ANALYSES}")
+    readings = iter([NOW + timedelta(hours=h) for h in (1, 2, 3, 4)])
+    drained = run_stored_dispatch(cases(spark, range(9)), store, broker, version=1, job=8, now=NOW, chunk=4, clock=lambda: next(readings))
+    assert [len(wave) for wave in broker.sent if wave] == [9, 3, 3]
+    assert (drained.published, drained.retried) == (6, 9)
+    rows = {r.request_id: r for r in drained.outbox.collect()}
+    assert {rows[key(c)].dispatch_status for c in range(9) if c % 3} == {"SENT"}
+    assert {(rows[key(c)].dispatch_status, rows[key(c)].attempt_count) for c in range(0, 9, 3)} == {("DEAD", 3)}
+    # A clock that stands still changes nothing: what has failed is not due yet.
+    again = Broker()
+    still = str(tmp_path / "still")
+    replace_table(analyses(spark, range(6)), f"{still}/{ANALYSES}")
+    run_stored_dispatch(cases(spark, range(9)), still, again, version=1, job=8, now=NOW, chunk=4, clock=lambda: NOW)
+    assert [len(wave) for wave in again.sent if wave] == [9]

@@ -1,13 +1,17 @@
 """Event features on hand-made logs."""
 
 import json
-from datetime import date
+import os
+import random
+from datetime import date, timedelta
 
 import pytest
 
 from memberlytics.operators import events
+from memberlytics.params import RunParams
+from memberlytics.plans import event_features
 from memberlytics.schemas import CLICK_COLUMNS, SCHEMAS
-from memberlytics.sources.event_logs import in_scan_window
+from memberlytics.sources.event_logs import day_signs, in_scan_window, scan_event_logs
 
 AS_OF = date(2024, 1, 30)
 
@@ -86,8 +90,6 @@ def test_features_have_defaults_and_order(spark):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_one_scan_equals_separate_operators(spark, seed):
-    import random
-
     rng = random.Random(seed)
     names = [*events.EVENT_BY_COLUMN.values(), "other"]
     rows = []
@@ -102,3 +104,81 @@ def test_one_scan_equals_separate_operators(spark, seed):
         assert counts(merged[row.member_id]) == counts(row)
     clicks = {r.member_id: r.product_type_clicks for r in events.product_type_clicks(events_, AS_OF).collect()}
     assert {m: r.product_type_clicks for m, r in merged.items()} == {m: clicks.get(m, "{}") for m in merged}
+
+
+def some_events(rng, n, days):
+    """Events of members of whom one holds a third, some late, some without a type or member."""
+    names = [*events.EVENT_BY_COLUMN.values(), "other", "click_product_detail"]
+    out = []
+    for _ in range(n):
+        member = 0 if rng.random() < 1 / 3 else rng.choice([None, *range(1, 12)])
+        arrived = AS_OF - timedelta(days=rng.choice(days))
+        happened = arrived - timedelta(days=rng.choice([0, 0, 0, 1, 3, 6, 30, -1]))
+        tags = rng.choice([None, [], ["x"], ["x", "y", "z"], ["y", "y", None], ["w", "x"]])
+        out.append((member, rng.choice(names), str(happened), rng.choice([None, "a", "A", "b"]), tags, str(arrived)))
+    return out
+
+
+def separately(events_, as_of):
+    """The feature table put together from the separate operators."""
+    counted = {r.member_id: r for r in events.event_counts(events_, as_of).collect()}
+    clicks = {r.member_id: r.product_type_clicks for r in events.product_type_clicks(events_, as_of).collect()}
+    tags = {r.member_id: r.product_type_top_tags for r in events.top_tags(events.tag_counts(events_, as_of)).collect()}
+    known = {m: (clicks.get(m, "{}"), tags.get(m, "[]")) if m is not None else ("{}", "[]") for m in counted}
+    return {m: (as_of, m, *[row[c] for c in CLICK_COLUMNS], *known[m]) for m, row in counted.items()}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_features_equal_separate_operators(spark, seed):
+    rng = random.Random(seed)
+    events_ = log(spark, *some_events(rng, 900, [0, 1, 2, 5, 6, 7, 30, 88, 89]))
+    assert {r.member_id: tuple(r) for r in events.build_event_features(events_, AS_OF).collect()} == separately(events_, AS_OF)
+    sums = events.daily_partials(events_)
+    assert sums.schema.names == SCHEMAS["event_daily_partials"].names
+    assert {r.member_id: tuple(r) for r in events.features_of_facts(sums, AS_OF).collect()} == separately(events_, AS_OF)
+    assert events.build_event_features(events_.limit(0), AS_OF).count() == 0
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_daily_partials_read_each_day_once(spark, tmp_path):
+    """Three days in a row, with late arrivals: as the whole log gives, from one new day each."""
+    rng, path, store = random.Random(8), str(tmp_path / "log"), str(tmp_path / "store")
+    whole = log(spark, *some_events(rng, 1500, [0, 1, 2, 3, 8, 40, 90, 91]))
+    days = [AS_OF - timedelta(days=back) for back in (2, 1, 0)]
+    whole.where(f"dt < '{days[0]}'").write.partitionBy("dt").parquet(path)
+    for n, day in enumerate(days):
+        whole.where(f"dt = '{day}'").write.mode("append").partitionBy("dt").parquet(path)
+        params = RunParams(day, "202312")
+        if n:
+            # Whatever was read before is no longer needed: only its listing counts.
+            for file in tmp_path.glob("log/dt=*/*.parquet"):
+                if str(day) not in str(file.parent) and not file.name.startswith("."):
+                    stat, size = file.stat(), file.stat().st_size
+                    file.write_bytes(b"x" * size)
+                    os.utime(file, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+        got = event_features.run_event_features(spark, path, store, params, incremental=True)
+        direct = events.build_event_features(in_scan_window(whole, day), day)
+        assert rows_of(got) == rows_of(direct)
+        assert event_features.refresh_partials(spark, path, store, day) == []
+
+
+def test_changed_days_are_read_again(spark, tmp_path):
+    rng, path, store = random.Random(9), str(tmp_path / "log"), str(tmp_path / "store")
+    params = RunParams(AS_OF, "202312")
+    first, late = some_events(rng, 300, [0, 1, 9]), some_events(rng, 50, [9])
+    log(spark, *first).write.partitionBy("dt").parquet(path)
+    event_features.run_event_features(spark, path, store, params, incremental=True)
+    log(spark, *late).write.mode("append").partitionBy("dt").parquet(path)
+    nine = AS_OF - timedelta(days=9)
+    assert event_features.refresh_partials(spark, path, store, AS_OF) == [nine]
+    again = event_features.run_event_features(spark, path, store, params, incremental=True)
+    assert rows_of(again) == rows_of(events.build_event_features(log(spark, *first, *late), AS_OF))
+    # A day that has lost its files counts no more.
+    other = str(tmp_path / "other")
+    scan_event_logs(spark, path, AS_OF).where(f"dt <> '{nine}'").write.partitionBy("dt").parquet(other)
+    assert nine not in day_signs(spark, other, AS_OF)
+    moved = event_features.run_event_features(spark, other, store, params, incremental=True)
+    assert rows_of(moved) == rows_of(events.build_event_features(scan_event_logs(spark, other, AS_OF), AS_OF))

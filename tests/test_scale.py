@@ -11,7 +11,7 @@ from checks.staging import EVENT_LOG, stage, staged
 from memberlytics.operators import activity, dispatch, events, index, lookups
 from memberlytics.params import RunParams
 from memberlytics.schemas import SCHEMAS
-from memberlytics.sources.event_logs import scan_event_logs
+from memberlytics.sources.event_logs import day_signs, scan_event_days, scan_event_logs
 
 
 def plan_of(df):
@@ -29,17 +29,21 @@ def root(spark, sf_dir, tmp_path_factory):
     return root
 
 
-def test_event_features_read_the_log_twice_with_pruned_columns(spark, root):
+def test_event_features_read_the_log_once(spark, root):
     plan = plan_of(events.build_event_features(scan_event_logs(spark, f"{root}/{EVENT_LOG}", AS_OF), AS_OF, ordered=False))
     found = scans(plan)
-    assert len(found) == 2
-    assert all("PartitionFilters: [isnotnull(dt" in s for s in found)
-    tags_scan = next(s for s in found if "tags" in s.split("ReadSchema")[1])
-    assert "EqualTo(event_name,click_product_detail)" in tags_scan
-    assert "product_type" not in tags_scan.split("ReadSchema")[1]
-    counts_scan = next(s for s in found if s is not tags_scan)
-    assert "tags" not in counts_scan.split("ReadSchema")[1]
-    assert "WindowGroupLimit" in plan and "rangepartitioning" not in plan
+    assert len(found) == 1 and "PartitionFilters: [isnotnull(dt" in found[0]
+    # Sums per member, kind and value, then one partitioning by member for ranks and features.
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join" not in plan and "rangepartitioning" not in plan
+
+
+def test_partials_open_changed_days_only(spark, root):
+    """Listing a log does not open its files, and reading some days opens no other."""
+    log = f"{root}/{EVENT_LOG}"
+    plan = plan_of(events.daily_partials(scan_event_days(spark, log, [AS_OF])))
+    assert len(scans(plan)) == 1 and "PartitionFilters: [isnotnull(dt" in scans(plan)[0] and "2024-01-30" in scans(plan)[0]
+    signs = day_signs(spark, log, AS_OF)
+    assert signs == day_signs(spark, log, AS_OF) and AS_OF in signs and len(signs) <= 90
 
 
 def test_filters_reach_the_scans(spark, root):
