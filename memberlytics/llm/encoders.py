@@ -1,25 +1,32 @@
 """Memoized use of public tokenizers.
 
 Both vocabularies here never join text across a space, so a text's ids are those of its pieces
-between spaces. A worker remembers the ids of pieces it has met, and gives the tokenizer only
-new ones, many at a time. `tests/llm` holds the results against plain calls of the tokenizer.
+between spaces. Many texts are cut and their distinct pieces numbered at a time, in Arrow; a Python
+process remembers the ids of pieces it has met, gives the tokenizer only new ones, all in one call,
+and gathers the ids of all texts by places. `tests/llm` holds the results against plain calls.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import batched
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-# Texts whose new pieces are encoded together.
-TEXTS = 128
-# Pieces that a worker remembers at most.
-MEMO = 800_000
+# Characters, and texts, worked on at a time; a longer text is worked on alone.
+CHARACTERS = 4_000_000
+TEXTS = 4_096
+# Pieces that a process remembers at most, and the longest one that it does. When there are more, the half that
+# fewer calls have met is forgotten.
+MEMO = 1_500_000
+LONGEST = 64
+SIGNS = ".,;:!?"
+# Letters, of which each alphabet here makes a word of its own, and a sign after them.
+SIMPLE = rf"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<sign>[{SIGNS}]?)$"
 
 
 def default_path(name: str) -> str:
@@ -32,97 +39,220 @@ def as_bytes(ids: list[int]) -> bytes:
     return np.asarray(ids, "<u4").tobytes()
 
 
+def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of `flat` at `starts`, one after the other."""
+    shift = starts - (np.cumsum(sizes) - sizes)
+    return flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+
+
+class Store:
+    """Ids of numbered pieces, in one growing array."""
+
+    def __init__(self) -> None:
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.starts, self.sizes, self.met, self.n = *(np.zeros(1 << 14, np.int64) for _ in range(3)), 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Store pieces whose `ids` stand one after the other; returns their numbers."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        while self.n + len(sizes) > len(self.starts):
+            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
+            self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
+            self.met = np.concatenate((self.met, np.zeros_like(self.met)))
+        numbers = np.arange(self.n, self.n + len(sizes))
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[numbers] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[numbers], self.met[numbers] = sizes, 0
+        self.used, self.n = self.used + len(ids), self.n + len(sizes)
+        return numbers
+
+    def cut_back(self, n: int) -> None:
+        """Forget all pieces from number `n` on."""
+        if n < self.n:
+            self.used, self.n = int(self.starts[n]), n
+
+    def meet(self, numbers: np.ndarray) -> None:
+        """Note that a call has met these (different) pieces."""
+        self.met[numbers] += 1
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after the other, and how many each has."""
+        sizes = self.sizes[numbers]
+        return gather(self.flat, self.starts[numbers], sizes), sizes
+
+
 class Pieces:
     """`encode(texts)`: the ids of whole texts as little-endian unsigned 32-bit integers."""
 
-    # Letters, of which each alphabet here makes a word of its own, and a sign after them.
-    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
-
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {"": b""}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.signs = {"": b""} | dict(zip(".,;:!?", self.whole(list(".,;:!?")), strict=True))
-        size = self.tokenizer.get_vocab_size()
-        self.names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.memo: dict[str, int] = {}
+        self.store = Store()
+        # Pieces that stay: the empty one, then each sign alone.
+        self.remember(["", *SIGNS], *self.joined([b"", *self.whole(list(SIGNS))]))
+
+    def remember(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        numbers = self.store.add(ids, sizes)
+        self.memo.update(zip(pieces, numbers.tolist(), strict=True))
+        return numbers
+
+    @staticmethod
+    def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], np.int64)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [as_bytes(e.ids) for e in encoded]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split, new = [], set()
-        for text in texts:
-            pieces = None if any(s in text for s in self.special) else self.split(text)
-            unknown = set(pieces).difference(self.memo) if pieces else ()
-            if unknown and any(map(self.uncertain, unknown)):
-                pieces = None
-            elif unknown:
-                new |= unknown
-            split.append(pieces)
-        fresh = self.encode_new(new) if new else {}
-        self.memo.update(fresh)
-        known = self.memo.__getitem__
-        out = [b"".join(map(known, pieces)) if pieces else self.whole([text])[0] for text, pieces in zip(texts, split, strict=True)]
-        if len(self.memo) > MEMO:
-            for piece in fresh:
-                del self.memo[piece]
-        return out
-
-    def encode_new(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of new pieces; those of letters and a sign by their letters, which may be known."""
-        simple = {p: m for p in new if (m := self.SIMPLE.fullmatch(p))}
-        letters = {self.key(m[1]) for m in simple.values()}
-        missing = [w for w in letters if w not in self.memo]
-        words = dict(zip(missing, self.encode_words(missing), strict=True)) if missing else {}
-        known = {w: words[w] if w in words else self.memo[w] for w in letters}
-        fresh = {p: known[self.key(m[1])] + self.signs[m[2]] for p, m in simple.items()}
-        other = [p for p in new if p not in simple]
-        fresh.update(zip(other, self.encode_others(other), strict=True))
-        return words | fresh
-
-    def cut_at(self, ids: bytes, at: np.ndarray, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece, given where each begins."""
+        plain = [not any(s in text for s in self.special) for text in texts]
+        array = pa.array(texts, pa.large_string())
+        fits = np.array(plain, bool) & self.cuttable(array)
+        out: list[bytes | None] = [None] * len(texts)
+        places = np.flatnonzero(fits)
+        if len(places):
+            cut = self.cut(array.take(pa.array(places)))
+            for place, ids in zip(places.tolist(), self.encode_cut(cut), strict=True):
+                out[place] = ids
+        return [self.whole([text])[0] if ids is None else ids for text, ids in zip(texts, out, strict=True)]
+
+    def encode_cut(self, cut: pa.ListArray) -> list[bytes | None]:
+        """Ids of texts given as lists of pieces; None where a new piece does not stand for itself."""
+        ends = cut.offsets.to_numpy()
+        numbered = cut.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
+        at, distinct = numbered.indices.to_numpy(zero_copy_only=False), numbered.dictionary.to_pylist()
+        numbers = np.fromiter((self.memo.get(piece, -1) for piece in distinct), np.int64, len(distinct))
+        kept, fresh = self.store.n, []
+        new = np.flatnonzero(numbers < 0)
+        odd = [i for i in new.tolist() if self.uncertain(distinct[i])]
+        if odd:
+            new = new[~np.isin(new, odd)]
+        if len(new):
+            pieces = [distinct[i] for i in new.tolist()]
+            numbers[new] = self.encode_new(pieces, fresh)
+            fresh += pieces
+        bad = np.zeros(len(cut), bool)
+        if odd:
+            text_of = np.repeat(np.arange(len(cut)), np.diff(ends))
+            bad[text_of[np.isin(at, odd)]] = True
+            numbers[odd] = 0  # the empty piece: these texts are encoded whole
+        ids, sizes = self.store.get(numbers[at])
+        total = np.concatenate(([0], np.cumsum(sizes)))[ends - ends[0]].tolist()
+        data = ids.astype("<u4", copy=False).tobytes()
+        self.store.meet(numbers)
+        if any(len(piece) > LONGEST for piece in fresh):
+            self.forget_long(kept, fresh)
+        if self.store.n > MEMO:
+            self.forget_half()
+        return [None if b else data[4 * i : 4 * j] for b, i, j in zip(bad.tolist(), total[:-1], total[1:], strict=True)]
+
+    def forget_long(self, kept: int, fresh: list[str]) -> None:
+        """Take back those of the newest pieces (from number `kept` on) that are too long to be remembered."""
+        fresh = list(dict.fromkeys(fresh))
+        stay = [piece for piece in fresh if len(piece) <= LONGEST]
+        ids, sizes = self.store.get(np.array([self.memo[piece] for piece in stay], np.int64))
+        for piece in fresh:
+            del self.memo[piece]
+        self.store.cut_back(kept)
+        self.remember(stay, ids, sizes)
+
+    def forget_half(self) -> None:
+        """Keep the pieces that most calls have met, and those that always stay."""
+        pieces, met = list(self.memo), self.store.met
+        numbers = np.fromiter(self.memo.values(), np.int64, len(pieces))
+        order = np.argsort(-met[numbers], kind="stable")
+        stay = np.sort(np.concatenate((np.flatnonzero(numbers <= len(SIGNS)), order[numbers[order] > len(SIGNS)][: MEMO // 2])))
+        ids, sizes = self.store.get(numbers[stay])
+        before = met[numbers[stay]] // 2
+        self.memo, self.store = {}, Store()
+        numbers = self.remember([pieces[i] for i in stay.tolist()], ids, sizes)
+        self.store.met[numbers] = before
+
+    def encode_new(self, new: list[str], fresh: list[str]) -> np.ndarray:
+        """Numbers of new pieces; those of letters and a sign by their letters, which may be known. Letters that
+        are not are remembered too, and appended to `fresh`."""
+        found = pc.extract_regex(pa.array(new, pa.large_string()), SIMPLE)
+        simple = found.is_valid().to_numpy(zero_copy_only=False)
+        sizes, ids = np.zeros(len(new), np.int64), []
+        held = found.filter(pa.array(simple))
+        letters = self.key(held.field("letters")).dictionary_encode()
+        cores = letters.dictionary.to_pylist()
+        core_numbers = np.fromiter((self.memo.get(core, -1) for core in cores), np.int64, len(cores))
+        missing = np.flatnonzero(core_numbers < 0)
+        if len(missing):
+            words = [cores[i] for i in missing.tolist()]
+            core_numbers[missing] = self.remember(words, *self.encode_words(words))
+            fresh += words
+        signs = held.field("sign").dictionary_encode()
+        sign_numbers = np.array([self.memo[sign] for sign in signs.dictionary.to_pylist()], np.int64)
+        # A piece is its letters and its sign, one after the other.
+        pairs = np.column_stack(
+            (core_numbers[letters.indices.to_numpy(zero_copy_only=False)], sign_numbers[signs.indices.to_numpy(zero_copy_only=False)])
+        ) if len(held) else np.zeros((0, 2), np.int64)
+        simple_ids, simple_sizes = self.store.get(pairs.ravel())
+        other = [piece for piece, easy in zip(new, simple.tolist(), strict=True) if not easy]
+        other_ids, other_sizes = self.joined(self.encode_others(other))
+        numbers = np.empty(len(new), np.int64)
+        at = np.flatnonzero(simple)
+        pieces = [new[i] for i in at.tolist()]
+        # New letters without a sign have their number already.
+        known = np.fromiter((self.memo.get(piece, -1) for piece in pieces), np.int64, len(pieces))
+        numbers[at] = known
+        rest = np.flatnonzero(known < 0)
+        sizes = simple_sizes.reshape(-1, 2).sum(axis=1)
+        starts = np.cumsum(sizes) - sizes
+        numbers[at[rest]] = self.remember([pieces[i] for i in rest.tolist()], gather(simple_ids, starts[rest], sizes[rest]), sizes[rest])
+        numbers[~simple] = self.remember(other, other_ids, other_sizes)
+        return numbers
+
+    def sizes_at(self, at: np.ndarray, n_ids: int, pieces: list[str]) -> np.ndarray:
+        """How many ids each piece has, given where each begins."""
         if len(at) != len(pieces):
             raise ValueError("the tokenizer cuts pieces in another way than this class expects")
-        ends = [*at[1:].tolist(), len(ids) // 4]
-        return [ids[4 * a : 4 * b] for a, b in zip(at.tolist(), ends, strict=True)]
+        return np.diff(np.append(at, n_ids)).astype(np.int64)
 
 
 class BytePieces(Pieces):
-    """Byte-level BPE: a space belongs to the piece after it, and no id spans its front."""
+    """Byte-level BPE: a space belongs to the piece after it, and no id spans its front.
+
+    The first piece of a text, without a space before it, is marked by "\0".
+    """
 
     def __init__(self, path: str) -> None:
         super().__init__(path)
         # The byte-level alphabet writes a space as U+0120.
         self.opens = np.array([name.startswith("Ġ") for name in self.names])
 
-    def key(self, letters: str) -> str:
+    def key(self, letters: pa.Array) -> pa.Array:
         return letters
 
-    def split(self, text: str) -> list[str] | None:
-        # Runs of white space are cut by what follows them: leave such texts whole. (The first
-        # piece, without a space before it, is marked by "\0".)
-        pieces = text.split(" ")
-        if "" in pieces or "\0" in text:
-            return None
-        pieces[0] = "\0" + pieces[0]
-        return pieces
+    def cuttable(self, texts: pa.Array) -> np.ndarray:
+        # Runs of white space are cut by what follows them: leave such texts whole.
+        odd = pc.match_substring_regex(texts, "^$|^ | $|  |\x00")
+        return ~odd.to_numpy(zero_copy_only=False)
+
+    def cut(self, texts: pa.Array) -> pa.ListArray:
+        return pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\0", pa.large_string()), texts, pa.scalar("", pa.large_string())), " ")
 
     def uncertain(self, piece: str) -> bool:
         return piece[0].isspace() or piece[:1] == "\0" and piece[1].isspace()
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        ids = self.whole([" " + " ".join(words)])[0]
-        return self.cut_at(ids, np.flatnonzero(self.opens[np.frombuffer(ids, "<u4")]), words)
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.frombuffer(self.whole([" " + " ".join(words)])[0], "<u4")
+        return ids, self.sizes_at(np.flatnonzero(self.opens[ids]), len(ids), words)
 
     def encode_others(self, others: list[str]) -> list[bytes]:
         heads = [p for p in others if p[:1] == "\0"]
         spaced = [p for p in others if p[:1] != "\0"]
         done = dict(zip(heads, self.whole([p[1:] for p in heads]), strict=True))
         if spaced:
-            done.update(zip(spaced, self.encode_words(spaced), strict=True))
+            ids, sizes = self.encode_words(spaced)
+            ends = np.cumsum(sizes).tolist()
+            done.update((p, ids[end - size : end].tobytes()) for p, end, size in zip(spaced, ends, sizes.tolist(), strict=True))
         return [done[p] for p in others]
 
 
@@ -133,19 +263,22 @@ class WordPieces(Pieces):
         super().__init__(path)
         self.ends = np.array([name.endswith("</w>") for name in self.names])
 
-    def key(self, letters: str) -> str:
-        return letters.lower()
+    def key(self, letters: pa.Array) -> pa.Array:
+        return pc.utf8_lower(letters)
+
+    def cuttable(self, texts: pa.Array) -> np.ndarray:
+        return np.ones(len(texts), bool)
 
-    def split(self, text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
+    def cut(self, texts: pa.Array) -> pa.ListArray:
+        return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
 
     def uncertain(self, piece: str) -> bool:
         return False
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        ids = self.whole([" ".join(words)])[0]
-        ends = np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1
-        return self.cut_at(ids, np.concatenate(([0], ends[:-1])), words)
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.frombuffer(self.whole([" ".join(words)])[0], "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        return ids, self.sizes_at(np.concatenate(([0], ends[:-1])), len(ids), words)
 
     def encode_others(self, others: list[str]) -> list[bytes]:
         return self.whole(others)
@@ -163,5 +296,12 @@ def word_pieces(path: str) -> WordPieces:
 
 def encoded(rows: Iterable[tuple], encoder: Pieces) -> Iterator[tuple]:
     """(doc_id, text) rows to (doc_id, ids), so many at a time that new pieces share a call."""
-    for some in batched(rows, TEXTS):
-        yield from zip((doc_id for doc_id, _ in some), encoder.encode([text or "" for _, text in some]), strict=True)
+    held, size = [], 0
+    for doc_id, text in rows:
+        held.append((doc_id, text or ""))
+        size += len(held[-1][1])
+        if size >= CHARACTERS or len(held) >= TEXTS:
+            yield from zip((doc_id for doc_id, _ in held), encoder.encode([text for _, text in held]), strict=True)
+            held, size = [], 0
+    if held:
+        yield from zip((doc_id for doc_id, _ in held), encoder.encode([text for _, text in held]), strict=True)

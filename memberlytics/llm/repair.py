@@ -7,7 +7,7 @@ order (`part` is the place of the writing task in that order, `shard` the place
     doc_ids      array<bigint>   documents of the shard, in order
     doc_tokens   uint32 each     tokens per document
     doc_symbols  uint32 each     symbols per document
-    symbols      uint16/uint32   what Re-Pair left of the token ids; width in `symbol_bytes`
+    symbols      uint16 each     what Re-Pair left of the token ids; width in `symbol_bytes`
     rules        uint32 pairs    nonterminal `first_nonterminal + i` stands for pair i
     lengths      uint32 each     tokens that nonterminal i expands to
 
@@ -50,41 +50,79 @@ SHARD = (
 )
 
 
+def pair_keys(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The pairs that start at places `at`, as numbers: symbols have 16 bits."""
+    return seq[at] << np.uint32(16) | seq[at + 1]
+
+
+def places_around(size: int, *places: np.ndarray) -> np.ndarray:
+    """The different places from 0 to `size` - 1 among all of `places`, in order."""
+    marked = np.zeros(size + 2, bool)  # the last two take what lies outside, -1 as well
+    for at in places:
+        marked[np.minimum(at, size)] = True
+    return np.flatnonzero(marked[:size])
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    ordered = np.sort(keys)
+    front = np.flatnonzero(np.concatenate((np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1])))
+    return ordered[front], np.diff(np.append(front, len(ordered)))
+
+
 def compress(ids: np.ndarray, end_id: int = END_ID, first: int = FIRST_NONTERMINAL) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and rules (pairs) of a Re-Pair grammar of `ids`."""
+    """Symbols and rules (pairs) of a Re-Pair grammar of `ids`.
+
+    Pairs are sorted and counted once. What a round puts in holds a symbol of its own, so counts of earlier
+    pairs only fall, by those around the replaced places, and a pair below MIN_COUNT is forgotten.
+    """
+    if len(ids) and int(ids.max()) >= first:
+        raise ValueError(f"token ids reach {int(ids.max())}, the format has room for those below {first}")
     seq, rules = ids.astype(np.uint32), []
     closes = np.zeros(first + MAX_RULES + 1, bool)  # symbols whose last token is the end id
     closes[end_id] = True
-    while len(seq) > 1 and len(rules) < MAX_RULES:
-        keys = seq[:-1] << np.uint32(16) | seq[1:]  # symbols have 16 bits
-        inner = ~closes[seq[:-1]]
-        ordered = np.sort(keys[inner])
-        if not len(ordered):
+
+    def inner(at: np.ndarray) -> np.ndarray:
+        return pair_keys(seq, at[~closes[seq[at]]])
+
+    pairs_known, counts = counted(inner(np.arange(len(seq) - 1)))
+    while len(rules) < MAX_RULES:
+        frequent = counts >= MIN_COUNT
+        pairs_known, counts = pairs_known[frequent], counts[frequent]
+        if not len(counts):
             break
-        front = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        counts = np.diff(np.append(front, len(ordered)))
         floor = max(MIN_COUNT, int(counts.max()) // 4)
         often = np.flatnonzero(counts >= floor)
-        if not len(often):
-            break
         often = np.sort(often[np.argsort(-counts[often], kind="stable")[: MAX_RULES - len(rules)]])
-        pairs = ordered[front[often]]
+        pairs = pairs_known[often]
         # Cheap tests of either side leave few places to look up.
         is_left, is_right = (np.zeros(first + MAX_RULES + 1, bool) for _ in range(2))
         is_left[pairs >> np.uint32(16)] = True
         is_right[pairs & np.uint32(0xFFFF)] = True
-        at = np.flatnonzero(inner & is_left[seq[:-1]] & is_right[seq[1:]])
-        rule = np.minimum(np.searchsorted(pairs, keys[at]), len(pairs) - 1)
-        hit = pairs[rule] == keys[at]
+        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
+        keys = pair_keys(seq, at)
+        rule = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
+        hit = pairs[rule] == keys
         at, rule = at[hit], rule[hit]
         # In a run of neighbouring hits every second one stands.
         starts = np.concatenate(([True], np.diff(at) != 1))
         begin = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
         stands = (np.arange(len(at)) - begin) % 2 == 0
         at, rule = at[stands], rule[stands]
+
+        gone, times = counted(inner(places_around(len(seq) - 1, at - 1, at, at + 1)))
+        there = np.minimum(np.searchsorted(pairs_known, gone), len(pairs_known) - 1)
+        same = pairs_known[there] == gone
+        counts[there[same]] -= times[same]
         seq[at] = first + len(rules) + rule
-        seq = np.delete(seq, at + 1)
+        stay = np.ones(len(seq), bool)
+        stay[at + 1] = False
+        seq = seq[stay]
         closes[first + len(rules) : first + len(rules) + len(pairs)] = closes[pairs & np.uint32(0xFFFF)]
+        at -= np.arange(len(at))
+        fresh, times = counted(inner(places_around(len(seq) - 1, at - 1, at)))
+        pairs_known, counts = np.concatenate((pairs_known, fresh)), np.concatenate((counts, times))
+        order = np.argsort(pairs_known, kind="stable")
+        pairs_known, counts = pairs_known[order], counts[order]
         rules.extend(zip((pairs >> np.uint32(16)).tolist(), (pairs & np.uint32(0xFFFF)).tolist(), strict=True))
     return seq, np.array(rules, np.uint32).reshape(-1, 2)
 
@@ -105,7 +143,7 @@ def shard_row(part: int, shard: int, docs: list[tuple[int | None, bytes]], end_i
     size = np.ones(FIRST_NONTERMINAL + len(rules), np.int64)
     size[FIRST_NONTERMINAL:] = lengths
     ends = np.searchsorted(np.cumsum(size[symbols]), np.cumsum(tokens.astype(np.int64))) + 1
-    width = 2 if FIRST_NONTERMINAL + len(rules) <= 1 << 16 else 4
+    width = 2  # MAX_RULES sees to it that all symbols fit
     return (
         part, shard, len(ids), [doc_id for doc_id, _ in docs], tokens.tobytes(),
         np.diff(ends, prepend=0).astype("<u4").tobytes(), symbols.astype(f"<u{width}").tobytes(), width,
