@@ -21,12 +21,10 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberlytics.llm.common import cut, table
+from memberlytics.llm.common import bound, cut, table
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -42,11 +40,6 @@ THRESHOLD = -0.3
 UNIT = 1_000_000
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body(value)`, with `value` worked out once however often `body` names it."""
-    return F.get(F.transform(F.array(value), lambda held: body(held)), F.lit(0))
-
-
 def words_of(text: Column) -> Column:
     return F.filter(F.split(text, WORD_BREAK, -1), lambda word: word != "")
 

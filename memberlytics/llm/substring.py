@@ -15,7 +15,7 @@ below WINDOW words), so only the first of exact copies takes part.
 
 Results in special cases: null or empty text has no words; documents under WINDOW words stay whole;
 rows with one `doc_id` are one document (a repeat inside it removes nothing), unless their texts
-differ, then each row is judged by its own words; rows without a `doc_id` neither lose words nor cost others any;
+differ, then each row is judged by its own words (and none by another text of its id); rows without a `doc_id` neither lose words nor cost others any;
 extra columns are ignored.
 """
 
@@ -114,29 +114,29 @@ def anchors(docs: DataFrame) -> DataFrame:
     return map_blocks(docs, blocks_of, "anchor bigint, doc_id bigint, place int")
 
 
-def windows_around(words: list[bytes], places: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows that hold one of the anchors, each content once: a start, and its hashes (64 and 32 bits)."""
+def windows_around(words: list[bytes], places: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that hold one of the anchors, each content once: its hashes (64 and 32 bits)."""
     last = len(words) - WINDOW
     at = np.asarray([place for place in places if place <= len(words) - SPAN], np.int64)
     starts = np.unique((at[:, None] - np.arange(PERIOD)[None, :]).ravel())
     starts = starts[(starts >= 0) & (starts <= last)]
     if not len(starts):
-        return (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32))
+        return (np.zeros(0, np.int64), np.zeros(0, np.int32))
     hashes = hash_words(words)
     first, second = (rolling(hashes, WINDOW, base)[starts] for base in BASES)
     _, once = np.unique(first, return_index=True)
-    return starts[once].astype(np.int32), first[once].view(np.int64), second[once].astype(np.uint32).view(np.int32)
+    return first[once].view(np.int64), second[once].astype(np.uint32).view(np.int32)
 
 
-def kept(words: list[bytes], starts: list[int]) -> tuple[int, str]:
-    """Words removed by windows equal to those at `starts`, and the hash of what is left."""
-    starts = [s for s in starts if s + WINDOW <= len(words)]
-    if starts:
+def kept(words: list[bytes], repeated: list[int]) -> tuple[int, str]:
+    """Words removed by windows with one of the hashes in `repeated`, and the hash of what is left."""
+    starts = np.zeros(0, np.int64)
+    if len(words) >= WINDOW:
         hashes = rolling(hash_words(words), WINDOW, BASES[0])
-        starts = np.flatnonzero(np.isin(hashes, hashes[starts]))
+        starts = np.flatnonzero(np.isin(hashes, np.asarray(repeated, np.int64).view(np.uint64)))
     edge = np.zeros(len(words) + 1, np.int64)
-    np.add.at(edge, np.asarray(starts, np.int64), 1)
-    np.add.at(edge, np.asarray(starts, np.int64) + WINDOW, -1)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + WINDOW, -1)
     gone = np.cumsum(edge[:-1]) > 0
     left = b" ".join(word for word, out in zip(words, gone.tolist(), strict=True) if not out)
     return int(gone.sum()), hashlib.sha256(left).hexdigest()
@@ -150,19 +150,22 @@ def anchored(docs: DataFrame) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, located: DataFrame) -> DataFrame:
-    """`doc_id`, `starts`: where windows start that an earlier document holds too."""
+    """`doc_id`, `repeated`: hashes of its windows that an earlier document holds too.
+
+    Anchors of all texts of an id are looked at in each of them: that adds windows to compare, no result.
+    """
 
     def blocks_of(rows: Iterator[tuple]) -> Iterator[tuple]:
         for doc_id, text, places in rows:
-            starts, first, second = windows_around(words_of(text), places)
-            yield np.full(len(starts), doc_id), starts, first, second
+            first, second = windows_around(words_of(text), places)
+            yield np.full(len(first), doc_id), first, second
 
     around = docs.join(located, "doc_id")
-    windows = map_blocks(around, blocks_of, "doc_id bigint, start int, h1 bigint, h2 int", ("doc_id", "text", "places"))
+    windows = map_blocks(around, blocks_of, "doc_id bigint, h1 bigint, h2 int", ("doc_id", "text", "places"))
     first = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
     first = first.where("first_id < last_id").drop("last_id")
     later = windows.join(first, ["h1", "h2"]).where("first_id < doc_id")
-    return later.groupBy("doc_id").agg(F.collect_list("start").alias("starts"))
+    return later.groupBy("doc_id").agg(F.collect_list("h1").alias("repeated"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -178,19 +181,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)) & (F.col("n_words") >= WINDOW)
     judged = cut(whole.join(first, "sha").withColumn("copy", copy).drop("first_id"), "judged")
 
-    # Later exact copies have nothing to add: the first of them holds the same windows.
-    later = judged.where("copy").select("doc_id").distinct()
+    # Later exact copies have nothing to add: the first of them holds the same windows. Another text of
+    # the same id has, so only ids with nothing but copies stay out.
+    later = judged.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_and("copy").alias("only")).where("only").select("doc_id")
     located = cut(anchored(named).join(later, "doc_id", "left_anti"), "anchored")
     repeats = repeated_windows(named, located)
 
     def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for doc_id, text, starts in rows:
+        for doc_id, text, repeated in rows:
             words = words_of(text)
             sha = hashlib.sha256(b" ".join(words)).hexdigest()
-            yield (doc_id, sha, *kept(words, starts))
+            yield (doc_id, sha, *kept(words, repeated))
 
     result = "doc_id bigint, sha string, cut_words bigint, cut_sha string"
-    trimmed = map_rows(named.join(repeats, "doc_id"), rows_of, result, ("doc_id", "text", "starts"))
+    trimmed = map_rows(named.join(repeats, "doc_id"), rows_of, result, ("doc_id", "text", "repeated"))
     trimmed = trimmed.groupBy("doc_id", "sha").agg(F.min("cut_words").alias("cut_words"), F.min("cut_sha").alias("cut_sha"))
     return judged.join(trimmed, ["doc_id", "sha"], "left").select(
         "doc_id",

@@ -151,6 +151,18 @@ def test_substring_dedup(docs, rows, nothing):
     assert substring.remove_repeats(nothing).count() == 0
 
 
+def test_substring_dedup_of_ids_with_two_texts(spark):
+    rng = random.Random(9)
+    p, q, r, b, x = (" ".join(f"{name}{rng.randrange(10**6)}" for _ in range(n)) for name, n in [("p", 60), ("q", 60), ("r", 60), ("b", 130), ("x", 20)])
+    for table, gone in [
+        ([(1, p), (5, p), (5, f"{q} {r}"), (9, f"{x} {r}")], {(1, 60): 0, (5, 60): 60, (5, 120): 0, (9, 80): 60}),
+        ([(1, p), (5, f"{p} tail"), (5, b)], {(1, 60): 0, (5, 61): 60, (5, 130): 0}),
+        ([(5, p), (5, f"{x} {p}"), (5, p), (7, p), (7, b), (7, f"{b} {x}")], {(5, 60): 0, (5, 80): 0, (7, 60): 60, (7, 130): 0, (7, 150): 0}),
+    ]:
+        got = substring.remove_repeats(spark.createDataFrame(table, "doc_id bigint, text string"))
+        assert {(row.doc_id, row.n_words): row.n_removed for row in got.collect()} == gone
+
+
 def test_cover_serves_every_pair_of_places():
     assert {(a - b) % substring.PERIOD for a in substring.COVER for b in substring.COVER} == set(range(substring.PERIOD))
 
@@ -212,6 +224,9 @@ def test_line_dedup(docs, rows, nothing):
         for (a, x), (b, y) in itertools.pairwise(lines_of[row]):
             if seen.setdefault((x, y), (row, a)) != (row, a):
                 gone[row] |= {a, b}
+        for a, x in lines_of[row]:
+            if len(words(x)) >= 8 and seen.setdefault(x, (row, a)) != (row, a):
+                gone[row].add(a)
     expected = []
     for i, t, *_ in rows:
         row = (i is None, -1 if i is None else i, t)
@@ -226,6 +241,19 @@ def test_line_dedup(docs, rows, nothing):
     assert lines.dedup_lines(nothing).count() == 0
 
 
+def test_line_dedup_of_single_lines_and_very_many_lines(spark):
+    long, short = "a line of just these eight words here", "a line of just these seven words"
+    table = [(1, f"x\n{long}\ny"), (2, f"u\n{long}\nv"), (3, long), (4, f"x\n{short}"), (5, f"y\n{short}"), (6, short), (7, f"p\n{long}\n{long}\nq")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(table, "doc_id bigint, text string")).collect()}
+    assert got == {1: table[0][1], 2: "u\nv", 3: "", 4: table[3][1], 5: table[4][1], 6: short, 7: "p\nq"}
+    many = "\n".join(f"line {i}" for i in range(80_000))
+    big = [(1, many), (2, f"{many}\nown"), (3, "same\n" * 80_000)]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(big, "doc_id bigint, text string")).collect()}
+    assert (got[1], got[2]) == (many, "own")
+    # The first two of the equal lines are the earlier run, and the text still ends in a newline.
+    assert got[3] == "same\n"
+
+
 def test_masks_survive_all_substitutions():
     for wrong in itertools.combinations(range(decontamination.WINDOW), decontamination.SUBSTITUTIONS):
         assert any(
