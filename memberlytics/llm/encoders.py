@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Iterator
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,11 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # Characters, and texts, worked on at a time; a longer text is worked on alone.
-CHARACTERS = 4_000_000
+CHARACTERS = 2_000_000
 TEXTS = 4_096
 # Pieces that a process remembers at most, and the longest one that it does. When there are more, the half that
 # fewer calls have met is forgotten.
-MEMO = 1_500_000
+MEMO = 1_000_000
 LONGEST = 64
 SIGNS = ".,;:!?"
 # Letters, of which each alphabet here makes a word of its own, and a sign after them.
@@ -95,6 +96,10 @@ class Pieces:
         # Pieces that stay: the empty one, then each sign alone.
         self.remember(["", *SIGNS], *self.joined([b"", *self.whole(list(SIGNS))]))
 
+    def numbers_of(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of pieces, -1 for unknown ones."""
+        return np.fromiter(map(self.memo.get, pieces, repeat(-1)), np.int64, len(pieces))
+
     def remember(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         numbers = self.store.add(ids, sizes)
         self.memo.update(zip(pieces, numbers.tolist(), strict=True))
@@ -125,10 +130,10 @@ class Pieces:
         ends = cut.offsets.to_numpy()
         numbered = cut.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
         at, distinct = numbered.indices.to_numpy(zero_copy_only=False), numbered.dictionary.to_pylist()
-        numbers = np.fromiter((self.memo.get(piece, -1) for piece in distinct), np.int64, len(distinct))
+        numbers = self.numbers_of(distinct)
         kept, fresh = self.store.n, []
         new = np.flatnonzero(numbers < 0)
-        odd = [i for i in new.tolist() if self.uncertain(distinct[i])]
+        odd = self.uncertain(distinct, new.tolist())
         if odd:
             new = new[~np.isin(new, odd)]
         if len(new):
@@ -144,7 +149,7 @@ class Pieces:
         total = np.concatenate(([0], np.cumsum(sizes)))[ends - ends[0]].tolist()
         data = ids.astype("<u4", copy=False).tobytes()
         self.store.meet(numbers)
-        if any(len(piece) > LONGEST for piece in fresh):
+        if len(new) and pc.max(pc.utf8_length(numbered.dictionary.take(pa.array(new)))).as_py() > LONGEST:
             self.forget_long(kept, fresh)
         if self.store.n > MEMO:
             self.forget_half()
@@ -181,7 +186,7 @@ class Pieces:
         held = found.filter(pa.array(simple))
         letters = self.key(held.field("letters")).dictionary_encode()
         cores = letters.dictionary.to_pylist()
-        core_numbers = np.fromiter((self.memo.get(core, -1) for core in cores), np.int64, len(cores))
+        core_numbers = self.numbers_of(cores)
         missing = np.flatnonzero(core_numbers < 0)
         if len(missing):
             words = [cores[i] for i in missing.tolist()]
@@ -200,7 +205,7 @@ class Pieces:
         at = np.flatnonzero(simple)
         pieces = [new[i] for i in at.tolist()]
         # New letters without a sign have their number already.
-        known = np.fromiter((self.memo.get(piece, -1) for piece in pieces), np.int64, len(pieces))
+        known = self.numbers_of(pieces)
         numbers[at] = known
         rest = np.flatnonzero(known < 0)
         sizes = simple_sizes.reshape(-1, 2).sum(axis=1)
@@ -238,8 +243,9 @@ class BytePieces(Pieces):
     def cut(self, texts: pa.Array) -> pa.ListArray:
         return pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\0", pa.large_string()), texts, pa.scalar("", pa.large_string())), " ")
 
-    def uncertain(self, piece: str) -> bool:
-        return piece[0].isspace() or piece[:1] == "\0" and piece[1].isspace()
+    def uncertain(self, pieces: list[str], new: list[int]) -> list[int]:
+        """Which of the new pieces begin with white space that the piece before may take."""
+        return [i for i in new if pieces[i][0].isspace() or pieces[i][0] == "\0" and pieces[i][1].isspace()]
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.frombuffer(self.whole([" " + " ".join(words)])[0], "<u4")
@@ -272,8 +278,8 @@ class WordPieces(Pieces):
     def cut(self, texts: pa.Array) -> pa.ListArray:
         return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
 
-    def uncertain(self, piece: str) -> bool:
-        return False
+    def uncertain(self, pieces: list[str], new: list[int]) -> list[int]:
+        return []
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.frombuffer(self.whole([" ".join(words)])[0], "<u4")

@@ -44,6 +44,8 @@ MAX_RULES = 65_535 - FIRST_NONTERMINAL
 SHARD_TOKENS = 1_000_000
 # A rule has to spare more than the eight bytes and the length that it costs.
 MIN_COUNT = 16
+# Cells of a table of pairs by both symbols, beyond which pairs are searched for.
+TABLE = 4_000_000
 SHARD = (
     "part int, shard int, n_tokens bigint, doc_ids array<bigint>, doc_tokens binary, doc_symbols binary, "
     "symbols binary, symbol_bytes int, first_nonterminal int, rules binary, lengths binary"
@@ -69,6 +71,24 @@ def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[front], np.diff(np.append(front, len(ordered)))
 
 
+def number_of_pair(pairs: np.ndarray, seq: np.ndarray, at: np.ndarray, symbols: int) -> np.ndarray:
+    """Which of `pairs` starts at each of the places `at`, -1 for none; both symbols there occur in `pairs` on their side."""
+    sides = []
+    for found, here in ((pairs >> np.uint32(16), seq[at]), (pairs & np.uint32(0xFFFF), seq[at + 1])):
+        used, row = np.unique(found, return_inverse=True)
+        place = np.zeros(symbols, np.int64)
+        place[used] = np.arange(len(used))
+        sides.append((row, place[here], len(used)))
+    (left, left_here, n), (right, right_here, m) = sides
+    if n * m > TABLE:
+        keys = pair_keys(seq, at)
+        near = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
+        return np.where(pairs[near] == keys, near, -1)
+    numbers = np.full(n * m, -1, np.int64)
+    numbers[left * m + right] = np.arange(len(pairs))
+    return numbers[left_here * m + right_here]
+
+
 def compress(ids: np.ndarray, end_id: int = END_ID, first: int = FIRST_NONTERMINAL) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and rules (pairs) of a Re-Pair grammar of `ids`.
 
@@ -95,14 +115,13 @@ def compress(ids: np.ndarray, end_id: int = END_ID, first: int = FIRST_NONTERMIN
         often = np.sort(often[np.argsort(-counts[often], kind="stable")[: MAX_RULES - len(rules)]])
         pairs = pairs_known[often]
         # Cheap tests of either side leave few places to look up.
-        is_left, is_right = (np.zeros(first + MAX_RULES + 1, bool) for _ in range(2))
-        is_left[pairs >> np.uint32(16)] = True
-        is_right[pairs & np.uint32(0xFFFF)] = True
-        at = np.flatnonzero(is_left[seq[:-1]] & is_right[seq[1:]])
-        keys = pair_keys(seq, at)
-        rule = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
-        hit = pairs[rule] == keys
-        at, rule = at[hit], rule[hit]
+        sides = np.zeros(first + MAX_RULES + 1, np.uint8)
+        sides[pairs >> np.uint32(16)] = 1
+        sides[pairs & np.uint32(0xFFFF)] |= 2
+        side = sides[seq]
+        at = np.flatnonzero(side[:-1] & side[1:] >> 1)
+        rule = number_of_pair(pairs, seq, at, len(sides))
+        at, rule = at[rule >= 0], rule[rule >= 0]
         # In a run of neighbouring hits every second one stands.
         starts = np.concatenate(([True], np.diff(at) != 1))
         begin = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
