@@ -45,7 +45,7 @@ def _ship(application: str) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers this package, once per application, as `--py-files` would."""
+    """Give the Python processes this package, once per application, as `--py-files` would."""
     _ship(spark.sparkContext.applicationId)
 
 
@@ -119,6 +119,33 @@ def bound(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda held: body(held)), F.lit(0))
 
 
+def running_totals(values: Column) -> Column:
+    """The sums of `values` (whole numbers) up to each place, itself included.
+
+    An array that grows inside an aggregate is copied at every step. So sums run within stretches as long
+    as the root of the array, then over the stretches: n ** 1.5 copied numbers instead of n ** 2.
+    """
+    none = F.array().cast("array<int>")
+
+    def last(sums: Column) -> Column:
+        return F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0))
+
+    def summed(part: Column) -> Column:
+        return F.aggregate(part, none, lambda sums, value: F.concat(sums, F.array(last(sums) + value)))
+
+    def over_stretches(within: Column) -> Column:
+        before = F.aggregate(within, F.array(F.lit(0)), lambda sums, part: F.concat(sums, F.array(last(sums) + last(part))))
+        shifted = F.zip_with(within, F.slice(before, 1, F.size(within)), lambda part, base: F.transform(part, lambda x: x + base))
+        return F.flatten(shifted)
+
+    def by_stretches(held: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(held))).cast("int")
+        stretches = F.transform(F.sequence(F.lit(1), F.size(held), width), lambda at: F.slice(held, at, width))
+        return F.when(F.size(held) > 0, bound(F.transform(stretches, summed), over_stretches)).otherwise(none)
+
+    return bound(values, by_stretches)
+
+
 def hex64(value: Column) -> Column:
     """A long as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(value), 16, "0"))

@@ -11,7 +11,7 @@ Base kinds (email, ip, card, phone) are all reported. The method adds two kinds:
 checksum holds, and `id` for numbers like 123-45-6789, which score too low without a context word.
 
 Results in special cases: null and empty texts have no spans (counts 0, hash of the empty string);
-texts of any length are searched whole; repeated rows and rows without a `doc_id` are returned each;
+texts of any length and with any number of matches are searched whole; repeated rows and rows without a `doc_id` are returned each;
 extra columns are ignored.
 """
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberlytics.llm.common import table
+from memberlytics.llm.common import bound, running_totals, table
 
 # Possessive and anchored forms of the wanted patterns: the same matches without backtracking.
 # A match that starts inside a run of its first class can only follow another match (\G).
@@ -49,6 +49,8 @@ CONTEXT_WORDS = {
 PATTERN_SCORE = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "id": 0.4}
 CONTEXT_SCORE = 0.2
 THRESHOLD = 0.6
+# Long texts are cut into parts of this many code points: a place in a text is found by counting from its front.
+PART = 4096
 SPAN = "struct<kind:string,start:int,stop:int,score:double>"
 
 
@@ -94,27 +96,42 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def parts(text: Column) -> Column:
+    """`text` in parts of PART code points."""
+    return F.when(F.length(text) <= PART, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0)))
+
+
+def part_at(number: Column) -> Column:
+    return F.coalesce(F.get("parts", number), F.lit(""))
+
+
+def before(place: Column) -> Column:
+    """The CONTEXT code points of the text in front of `place`."""
+    number = F.floor(place / PART).cast("int")
+    return F.right(F.concat(part_at(number - 1), F.left(part_at(number), place - number * PART)), F.lit(CONTEXT))
+
+
+def after(place: Column) -> Column:
+    """The CONTEXT code points of the text from `place` on."""
+    number = F.floor(place / PART).cast("int")
+    return F.substring(F.concat(part_at(number), part_at(number + 1)), place - number * PART + 1, F.lit(CONTEXT))
+
+
 def spans_of(kind: str) -> Column:
-    """Array of valid spans of `kind` in column `text`, by start."""
-    pattern = F.lit(PATTERNS[kind])
-    matches = F.regexp_extract_all("text", pattern, 0)
+    """Array of valid spans of `kind` in column `text`, cut into `parts`, by start."""
     gaps = F.transform(F.split("text", PATTERNS[kind], -1), F.length)
-    # (where the last match ended, spans so far) over (gap, match) pairs
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int,match:string>>").alias("found"))
-
-    def step(state: Column, pair: Column) -> Column:
-        begin = state["at"] + pair["gap"]
-        end = begin + F.length(pair["match"])
-        here = F.struct(begin.alias("start"), end.alias("stop"), pair["match"].alias("match"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(here)).alias("found"))
-
-    pairs = F.arrays_zip(gaps.alias("gap"), matches.alias("match"))
-    pairs = F.filter(pairs, lambda pair: pair["match"].isNotNull())
-    placed = F.aggregate(pairs, start, step, lambda state: state["found"])
+
+    def place(matches: Column) -> Column:
+        ends = running_totals(F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda gap, match: gap + F.length(match)))
+        return F.zip_with(
+            matches, ends, lambda match, end: F.struct((end - F.length(match)).alias("start"), end.alias("stop"), match.alias("match"))
+        )
+
+    placed = bound(F.regexp_extract_all("text", F.lit(PATTERNS[kind]), F.lit(0)), place)
     confirmed = F.filter(placed, lambda span: valid(kind, span["match"]))
 
     def scored(span: Column) -> Column:
-        near = F.substring(F.col("text"), F.greatest(span["start"] + 1 - CONTEXT, F.lit(1)), span["stop"] - span["start"] + 2 * CONTEXT)
+        near = F.concat(before(span["start"]), span["match"], after(span["stop"]))
         context = F.lower(near).rlike(rf"\b(?:{CONTEXT_WORDS[kind]})\b")
         score = F.lit(PATTERN_SCORE[kind]) + F.when(context, CONTEXT_SCORE).otherwise(0.0)
         return F.struct(F.lit(kind).alias("kind"), span["start"].alias("start"), span["stop"].alias("stop"), score.alias("score"))
@@ -125,7 +142,7 @@ def spans_of(kind: str) -> Column:
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """`doc_id`, and per kind an array of spans with scores."""
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("parts", parts(F.col("text")))
     found = texts.select("doc_id", *[spans_of(kind).alias(kind) for kind in PATTERNS])
     added = [kind for kind in PATTERNS if kind not in BASE]
     return found.withColumns({kind: F.filter(kind, lambda span: span["score"] >= THRESHOLD) for kind in added})
