@@ -36,8 +36,9 @@ PERIOD = 31
 # A perfect difference set modulo 31.
 COVER = [1, 5, 11, 24, 25, 27]
 SPAN = WINDOW - PERIOD + 1
-# Entries of the memo of word hashes in a worker.
+# Word hashes that a Python process remembers at most, and the longest word that it does.
 MEMO = 300_000
+LONGEST = 64
 # Odd multipliers of two rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -48,7 +49,7 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(self) < MEMO:
+        if len(self) < MEMO and len(word) <= LONGEST:
             self[word] = value
         return value
 

@@ -5,7 +5,9 @@ table (all others share one row); filters of several widths slide over the text,
 largest response of each filter over the whole text is kept, and a logistic layer turns these into a
 score. Embeddings, filters and the layer are trained with numpy, on the driver, on a documented,
 bounded sample: at most SAMPLE labelled documents per class, those with the smallest hash of their
-id. The weights have a fixed size and are broadcast. Scoring runs over whole texts in any number of tasks.
+id, whose words reach the driver as buckets. Where the sample has another share of toxic documents than all
+labelled rows, the intercept is moved to theirs, so a score means the same on any size. The weights have a
+fixed size and are broadcast. Scoring runs over whole texts in any number of tasks.
 
 A filter is linear in its words, so each (filter, offset) pair is a table from word to number, and a
 text is scored by adding table rows: the same convolution without a product per word.
@@ -40,8 +42,9 @@ FILTERS = 12
 # Labelled documents per class that training takes at most.
 SAMPLE = 3000
 EPOCHS = 5
-# Words that a worker remembers.
+# Words that a Python process remembers at most, and the longest one that it does.
 MEMO = 300_000
+LONGEST = 64
 # Documents that must hold a word before its class counts give it a start.
 SEEN = 3
 THRESHOLD = 0.7
@@ -62,7 +65,7 @@ class Buckets(dict):
 
     def __missing__(self, word: str) -> int:
         bucket = 1 + zlib.crc32(word.lower().strip(".,;:!?\"'()*#%&$").encode()) % (BUCKETS - 1)
-        if len(self) < MEMO:
+        if len(self) < MEMO and len(word) <= LONGEST:
             self[word] = bucket
         return bucket
 
@@ -195,15 +198,26 @@ def known_labels(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", F.col("toxic").alias("label")).where(F.col("label").isin(0, 1) & (fold() != 1)).distinct()
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list:
-    """(doc_id, label, text) of at most `sample` labelled documents per class outside the held-out fold."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[int, int, np.ndarray]]:
+    """(doc_id, label, buckets of all words) of at most `sample` labelled documents per class outside the held-out fold."""
     known = known_labels(labels)
     # At most twice `sample` rows, so the join may broadcast them.
     chosen = [
         known.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for label in (0, 1)
     ]
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id").dropDuplicates(["doc_id", "label"])
-    return rows.select("doc_id", "label", "text").orderBy("doc_id", "label").collect()
+
+    def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
+        yield from ((doc_id, label, word_ids(text).tobytes()) for doc_id, label, text in rows)
+
+    hashed = map_rows(rows, rows_of, "doc_id bigint, label int, ids binary", ("doc_id", "label", "text"))
+    return [(row.doc_id, row.label, np.frombuffer(row.ids, np.int32)) for row in hashed.orderBy("doc_id", "label").collect()]
+
+
+def class_odds(labels: DataFrame) -> float:
+    """Logarithm of toxic over clean documents among all that may be learned from."""
+    counts = {row.label: row.n for row in known_labels(labels).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return float(np.log(counts[1] / counts[0]))
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model, list[int]] | None:
@@ -211,73 +225,89 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Mod
     rows = training_rows(docs, labels, sample)
     # Every fifth document is left to the thresholds; the others teach.
     taught = [row for k, row in enumerate(rows) if k % 5 != 4]
-    y = np.array([row.label for row in taught])
-    if len({row.label for row in rows}) < 2:
+    y = np.array([label for _, label, _ in taught])
+    if len(set(y.tolist())) < 2:
         return None
-    return train([word_ids(row.text) for row in taught], y), [row.doc_id for row in taught]
+    model = train([ids for _, _, ids in taught], y)
+    # Training weighs classes by the root of their share, so half the difference is left to make up.
+    of_sample = np.log(y.sum() / (len(y) - y.sum()))
+    model.intercept += 0.5 * (class_odds(labels) - of_sample)
+    return model, [doc_id for doc_id, _, _ in taught]
 
 
-def calibrate(docs: DataFrame, labels: DataFrame, taught: list[int], scores: DataFrame) -> dict[str | None, float]:
-    """Threshold per language, from `scores` (`doc_id`, `sign`, `score`) of all rows; under None that of all."""
+def calibrate(labels: DataFrame, taught: list[int], scores: DataFrame) -> DataFrame:
+    """`lang`, `threshold` from the `scores` of all rows: a row per language seen often enough, and a row without
+    one that counts for all others."""
+    spark = labels.sparkSession
     clean = known_labels(labels).where("label = 0").select("doc_id")
-    of_model = docs.sparkSession.createDataFrame([(i,) for i in taught], "doc_id bigint")
-    clean = clean.join(F.broadcast(of_model), "doc_id", "left_anti")
-    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    langs = docs.select("doc_id", lang.alias("lang"), F.xxhash64("text").alias("sign")).join(clean, "doc_id").distinct()
-    own = langs.join(scores, ["doc_id", "sign"])
+    of_model = spark.createDataFrame([(i,) for i in taught], "doc_id bigint")
+    own = scores.join(clean.join(F.broadcast(of_model), "doc_id", "left_anti"), "doc_id").distinct()
     columns = [F.count(F.lit(1)).alias("n"), F.percentile_approx("score", 1 - CLEAN_LOSS, RANKS).alias("score")]
     found = [(None, row) for row in own.agg(*columns).collect()]
     found += [(row.lang, row) for row in own.where("lang IS NOT NULL").groupBy("lang").agg(*columns).where(F.col("n") >= LEAST).collect()]
     # Just over that score, so equals of it stay; never under one half: a score that says "clean" rejects nothing.
-    return {lang: max(0.5, float(np.nextafter(row.score, 2))) if row.n else 0.5 for lang, row in found}
+    limits = [(lang, max(0.5, float(np.nextafter(row.score, 2))) if row.n else 0.5) for lang, row in found]
+    return spark.createDataFrame(limits, "lang string, threshold double")
+
+
+def with_threshold(scores: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """`scores` with the threshold of their language. There are few: each has LEAST documents or more."""
+    of_all = thresholds.where("lang IS NULL").select("threshold").scalar()
+    own = F.broadcast(thresholds.where("lang IS NOT NULL"))
+    return scores.join(own, "lang", "left").withColumn("threshold", F.coalesce("threshold", of_all))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Model, dict[str | None, float]] | None:
+    """The model, and the threshold of each language (under None that of all others)."""
     learned = learn(docs, labels, sample)
     if not learned:
         return None
     model, taught = learned
     judged = docs.join(known_labels(labels).where("label = 0").select("doc_id"), "doc_id", "left_semi")
-    return model, calibrate(docs, labels, taught, scored(judged, model).distinct())
+    return model, {row.lang: row.threshold for row in calibrate(labels, taught, scored(judged, model)).collect()}
 
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
-    """`doc_id`, `score`, `sign` (hash of the text) of every row."""
+    """`doc_id`, `lang`, `sign` (hash of the text), `score` of every row."""
     weights = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
         model = weights.value
         tables = model.tables() if model else None
-        for doc_id, text, sign in rows:
-            yield doc_id, sign, model.score(word_ids(text), tables) if model else 0.0
+        for doc_id, lang, text, sign in rows:
+            yield doc_id, lang, sign, model.score(word_ids(text), tables) if model else 0.0
 
-    signed = docs.select("doc_id", "text", F.xxhash64("text").alias("sign"))
-    return map_rows(signed, rows_of, "doc_id bigint, sign bigint, score double", ("doc_id", "text", "sign"))
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    signed = docs.select("doc_id", lang.alias("lang"), "text", F.xxhash64("text").alias("sign"))
+    return map_rows(signed, rows_of, "doc_id bigint, lang string, sign bigint, score double", ("doc_id", "lang", "text", "sign"))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` without those at or over the threshold of their language (all of them without labels)."""
+def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """`scored`, with the `threshold` of the language and whether the row is `rejected` by it (none without labels)."""
     learned = learn(docs, labels)
     if not learned:
-        return docs
+        return scored(docs, None).select("*", F.lit(1.0).alias("threshold"), F.lit(False).alias("rejected"))
     model, taught = learned
-    scores = cut(scored(docs, model).distinct(), "toxicity")
-    thresholds = calibrate(docs, labels, taught, scores)
-    scores = scores.toDF("_doc_id", "_sign", "_score")
-    limit = F.lit(thresholds[None])
-    if "lang" in docs.columns:
-        for lang, threshold in thresholds.items():
-            limit = limit if lang is None else F.when(F.col("lang") == lang, threshold).otherwise(limit)
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_sign"))
-    return docs.join(scores, same).where(F.col("_score") < limit).select(*docs.columns)
+    scores = cut(scored(docs, model), "toxicity")
+    found = with_threshold(scores, calibrate(labels, taught, scores))
+    return found.withColumn("rejected", F.col("score") >= F.col("threshold"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """`docs` without those at or over the threshold of their language (all of them without labels)."""
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    gone = judged(docs, labels).where("rejected").select("doc_id", "lang", "sign").distinct().toDF("_doc_id", "_lang", "_sign")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_sign")) & lang.eqNullSafe(F.col("_lang"))
+    # Merged at every size: what is rejected grows with the documents.
+    return docs.join(gone.hint("merge"), same, "left_anti")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    learned = learn(docs, table(spark, sf_dir, "labels"))
-    return scored(docs, learned[0] if learned else None).select(
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id",
         F.coalesce(fold() == 1, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        "threshold",
+        "rejected",
     )

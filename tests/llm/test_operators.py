@@ -5,7 +5,7 @@ import itertools
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -332,6 +332,49 @@ def test_a_format_rare_among_many_credentials_is_learned(spark):
     assert (counts[0, "L" * 20], counts[0, "-".join(["dddd"] * 5)]) == (20_000, 40)
 
 
+def test_short_and_very_long_formats_are_found(spark):
+    rng = random.Random(10)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    short = lambda: f"K-{digits(3)}-{digits(4)}"
+    long = lambda: "v1." + "".join(rng.choices("ABCDEF0123456789", k=297))
+    prose = [" ".join("".join(rng.choices("aeioubcdlmnrst", k=rng.randrange(2, 14))) for _ in range(40)) for _ in range(200)]
+    texts = [f"token={short()} x" for _ in range(300)] + [f"secret: {long()}" for _ in range(200)] + prose
+    texts += [f"bare {short()} and {long()} here", f"no {digits(3)}{'z' * 400} here", f"token={short()};{short()}"]
+    docs = spark.createDataFrame([(i, t, "en", 7, 0.5) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.spans for r in credentials.find_secrets(docs).collect()}
+    assert got[700] == "format:5:15,format:20:320" and got[701] == ""
+    assert got[702] == "assign:0:16,format:17:27"
+    assert not any(got[i] for i in range(500, 700))
+
+
+def test_secrets_of_a_text_with_very_many_spans(spark):
+    rng = random.Random(11)
+    text = " ".join(f"token=abcdefgh{i} {''.join(rng.choices('ghijklmn', k=12))}" for i in range(50_000))
+    base = credentials.base_spans(text)
+    assert len(base) == 50_000 and sum(1 for _ in credentials.candidates(text, base)) == 50_000
+    assert list(credentials.candidates("token=abcdefghij.klmnopqr" * 2, [(0, 0, 16, ""), (4, 2, 18, ""), (25, 0, 33, "")])) == [(33, 50, "cdefghij.klmnopqr")]
+
+
+def test_an_automaton_merges_like_states():
+    forms = Counter("".join(random.Random(i).choices("dl", k=3 + i % 5)) for i in range(3000))
+    edges = Counter()
+    for form, n in forms.items():
+        for k, symbol in enumerate(form):
+            edges[form[:k], symbol, form[: k + 1]] += n
+        edges[form, "", ""] += n
+    number = {prefix: k for k, prefix in enumerate(sorted({e[0] for e in edges}, key=lambda p: (len(p), p)))}
+    automaton = credentials.infer((number[a], s, number.get(b, 0), n) for (a, s, b), n in edges.items())
+    reached, waiting = {0}, [0]
+    while waiting:
+        for below, _ in automaton.edges[waiting.pop()].values():
+            if below not in reached:
+                reached.add(below)
+                waiting.append(below)
+    # Length is all that tells states apart: far fewer than the nodes of the tree.
+    assert len(reached) <= 12 < len(number)
+    assert automaton.bits("dlddl") > automaton.bits("dl") and automaton.bits("dldl") > automaton.bits("dlLL")
+
+
 def test_personal_data(spark, docs, rows, nothing):
     text = "a@b.c_d@e.f x@y..z 1.2.3.4.5.6.7.8 0300.1.1.1 007.08.09.255 1.2.3.256 +1 (222) 333-4444 +1-2 4111 1111-1111 1111 é🎉 me@é.com"
     text += " foo@bar.com, GB82 WEST 1234 5698 7654 32 GB83 WEST 1234 5698 7654 32 ssn 123-45-6789"
@@ -364,6 +407,27 @@ def test_personal_data(spark, docs, rows, nothing):
     assert pii.find_personal_data(nothing).count() == 0
 
 
+def test_personal_data_in_texts_with_very_many_matches(spark):
+    """Half a million matches in one text, and context across the parts of a long one."""
+    many = "12," * 500_000 + " card 4111 1111 1111 1111"
+    far = "é" * 4090 + " ssn: 123-45-6789 " + "x " * 5000 + "123-45-6789 " + "y " * 50 + "1.2.3.4 " * 3000
+    got = {r.doc_id: r for r in pii.find_personal_data(spark.createDataFrame([(1, many), (2, far)], "doc_id bigint, text string")).collect()}
+    at = len(many) - 19
+    assert [(s.start, s.stop, s.score) for s in got[1].card] == [(at, at + 19, 1.0)]
+    assert [(s.start, s.stop) for s in got[2].id] == [(4096, 4107)] and len(got[2].ip) == 3000
+    assert [s.start for s in got[2].ip] == [far.index("1.2.3.4") + 8 * k for k in range(3000)]
+
+
+def test_running_totals(spark):
+    from pyspark.sql import functions as F
+
+    from memberlytics.llm.common import running_totals
+
+    rows = [(n, [(7 * k) % 11 for k in range(n)]) for n in [0, 1, 2, 3, 4, 5, 9, 10, 99, 1000]]
+    found = spark.createDataFrame(rows, "n int, v array<int>").select("v", running_totals(F.col("v")).alias("t")).collect()
+    assert all(r.t == list(itertools.accumulate(r.v)) for r in found)
+
+
 def test_toxicity(spark, docs, nothing):
     rng = random.Random(6)
     data = []
@@ -391,6 +455,54 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.scored(nothing, model).count() == 0
 
 
+def insults(rng, n, share):
+    """(doc_id, text, toxic): toxic texts hold two insults, a few clean ones hold one."""
+    out = []
+    for i in range(n):
+        toxic = int(rng.random() < share)
+        w = rng.choices(WORDS, k=rng.randrange(5, 60))
+        for _ in range(2 * toxic or rng.random() < 0.03):
+            w.insert(rng.randrange(len(w)), rng.choice(["idiot", "moron", "scum"]))
+        out.append((i, " ".join(w), toxic))
+    return out
+
+
+def test_toxicity_query(spark, tmp_path):
+    data = insults(random.Random(12), 1500, 0.2)
+    langs = {i: ("en", "de", None, "xx")[min(3, i % 7 // 2)] if i % 50 else "rare" for i, *_ in data}
+    rows = [(i, t, langs[i], 1, "clash") for i, t, _ in data] + [(None, data[0][1], "en", 1, ""), (5, None, "en", 1, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, toxic int, threshold string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, y) for i, _, y in data], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = toxicity.op6_toxicity(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    limits = defaultdict(set)
+    for r in got:
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert r.predicted == (r.score >= 0.7) and r.rejected == (r.score >= r.threshold) and 0.5 <= r.threshold <= 1
+        limits[langs.get(r.doc_id, "en")].add(r.threshold)
+    # Languages without a name or too rare share the threshold of all.
+    assert all(len(found) == 1 for found in limits.values()) and limits[None] == limits["rare"]
+    toxic = {i: y for i, _, y in data}
+    held = [r for r in got if r.held_out]
+    assert np.mean([bool(toxic[r.doc_id]) == bool(r.predicted) for r in held]) > 0.95
+    empty = str(tmp_path / "empty")
+    spark.createDataFrame([], "doc_id bigint, toxic int").write.parquet(f"{empty}/labels.parquet")
+    spark.createDataFrame(rows[:3], "doc_id bigint, text string, lang string, toxic int, threshold string").write.parquet(f"{empty}/documents.parquet")
+    assert {(r.score, r.predicted, r.rejected) for r in toxicity.op6_toxicity(spark, empty).collect()} == {(0.0, 0, False)}
+
+
+def test_scores_do_not_depend_on_which_share_the_sample_has(spark):
+    data = insults(random.Random(13), 3000, 0.1)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in data], "doc_id bigint, toxic int")
+    for sample in (3000, 150):  # all of either class, and as many of both
+        model, taught = toxicity.learn(docs, labels, sample)
+        predicted = [model.score(toxicity.word_ids(t)) >= 0.7 for _, t, _ in data]
+        right = np.mean([p == bool(y) for p, (_, _, y) in zip(predicted, data, strict=True)])
+        assert right > 0.96 and abs(np.mean(predicted) - 0.1) < 0.03
+    assert len(taught) <= 2 * 150
+
+
 def test_thresholds_stand_on_all_labelled_rows(spark):
     rng = random.Random(8)
     langs = {i: ("en", "de", "fr")[i % 3] for i in range(3000)}
