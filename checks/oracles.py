@@ -412,6 +412,11 @@ SELECTS: dict[str, str] = {
           FROM (SELECT request_id, case_id FROM mixed_open UNION ALL SELECT sha256(case_id || ':1'), case_id FROM fresh) c
           LEFT JOIN analysis_dispatch_outbox_mixed o USING (request_id)) tried""",
     "table_read": "SELECT * FROM subscription",
+    "usage_amounts_check": f"""
+        SELECT count(*) AS document_count, count(*) FILTER (WHERE regexp_full_match(amount, '[0-9]+([.][0-9]+)?')) AS amount_count,
+          count(*) FILTER (WHERE regexp_full_match(amount, '[0-9]{{15,}}([.][0-9]+)?')) AS too_large_count
+        FROM (SELECT CASE WHEN json_type(usage_details) = 'OBJECT' THEN usage_details ->> '$.data_gb' END AS amount
+          FROM usage_monthly WHERE yyyymm = {MONTH}) u""",
     "index_counts": "SELECT (SELECT count(*) FROM member) AS member_count, "
     + ", ".join(
         f"(SELECT count(*) FROM {source} WHERE snapshot_date = {TODAY}) AS {name}_count"
@@ -462,5 +467,8 @@ SELECTS["apply_results_repeated"] = SELECTS["apply_results"]
 # Nor do stored sums per day, or a drain that was broken off and finished.
 SELECTS["p1_event_features_incremental"] = SELECTS["p1_event_features"]
 SELECTS["drain_dispatch_resumed"] = SELECTS["drain_dispatch"]
+# The SQL functions give what the column expressions do.
+for _name in ["active_subscriptions", "contract_flags", "raw_snapshot", "tscore_snapshot", "persona_code", "usage_metrics", "age_and_tenure", "segment"]:
+    SELECTS[f"sql_{_name}"] = SELECTS[_name]
 
 ORACLES = {name: statement(select) for name, select in SELECTS.items()}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.inputs import AS_OF, FEATURE_DATES, INDEX_DATES, NOW, PARAMS, table, tables
-from memberlytics.functions import scores
+from memberlytics.functions import scores, sql
 from memberlytics.operators import (
     activity,
     dispatch,
@@ -142,10 +142,10 @@ def p1_event_features_incremental(spark, sf_dir):
     """The same from stored sums per arrival day, for one snapshot date after the other, the log growing in between."""
     folder = f"{versions.shared_folder(spark)}/incremental-{uuid.uuid4().hex}"
     path, store, log = f"{folder}/log", f"{folder}/store", table(spark, sf_dir, "event_log")
-    before = date.min
+    arrived, before = F.col("dt").cast("date"), None
     for day in FEATURE_DATES:
-        arrived = F.col("dt").cast("date")
-        new = log.where((arrived > F.lit(before)) & (arrived <= F.lit(day)))
+        new = log.where(arrived <= F.lit(day))
+        new = new.where(arrived > F.lit(before)) if before else new
         new.repartitionByRange("dt", "timestamp").write.mode("append").partitionBy("dt").parquet(path)
         stored = run_event_features(spark, path, store, RunParams(day, previous_month(day)), incremental=True)
         before = day
@@ -389,6 +389,99 @@ def context_upsert(spark, sf_dir):
     return merging.upsert_by_key(current, context(spark, sf_dir), ["member_id"])
 
 
+# -- the same in SQL ----------------------------------------------------------------------------
+
+
+def in_sql(spark: SparkSession, statement: str, **views: DataFrame) -> DataFrame:
+    """`statement` over `views`, with the SQL functions registered."""
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    sql.register(spark)
+    return spark.sql(statement)
+
+
+def _active_in_sql(spark: SparkSession, sf_dir: str, statement: str) -> DataFrame:
+    for name, df in tables(spark, sf_dir, "subscription", "product").items():
+        df.createOrReplaceTempView(name)
+    sql.register_tables(spark)
+    return in_sql(spark, statement)
+
+
+@query
+def sql_active_subscriptions(spark, sf_dir):
+    return _active_in_sql(spark, sf_dir, f"SELECT * FROM active_subscriptions(DATE '{AS_OF}')")
+
+
+@query
+def sql_contract_flags(spark, sf_dir):
+    return _active_in_sql(
+        spark,
+        sf_dir,
+        f"""SELECT member_id, bool_or(product_type <> 'ADDON' AND ends_within_3_months(contract_end_date, DATE '{AS_OF}')) AS contract_expiry_within_3m
+        FROM active_subscriptions(DATE '{AS_OF}') GROUP BY member_id""",
+    )
+
+
+@query
+def sql_raw_snapshot(spark, sf_dir):
+    statement = f"""
+        SELECT DATE '{AS_OF}' AS snapshot_date, member_id,
+          round(explore_raw(click_product_detail_cnt, click_compare_cnt), 6) AS explore_raw,
+          round(benefit_trend_raw(addon_subscribe_cnt, coupon_used_cnt, click_change_success_cnt), 6) AS benefit_trend_raw,
+          round(multi_device_raw(watch_flag, tablet_flag, sharing_limit_gb, sharing_used_gb), 6) AS multi_device_raw,
+          round(family_home_raw(family_member_cnt, has_internet_iptv_bundle, children_count), 6) AS family_home_raw,
+          round(internet_security_raw(internet_flag, security_addon_cnt), 6) AS internet_security_raw,
+          round(stability_raw(membership, avg_monthly_satisfaction, is_paid), 6) AS stability_raw
+        FROM index_inputs"""
+    return in_sql(spark, statement, index_inputs=index.index_features(index_inputs(spark, sf_dir), PARAMS))
+
+
+@query
+def sql_tscore_snapshot(spark, sf_dir):
+    raw = _raw(spark, sf_dir).where(F.col("snapshot_date") == F.lit(AS_OF))
+    scored = ", ".join(
+        f"round(t_score({c}_raw, {c}_mean, {c}_stddev, {c}_min, {c}_max), 6) AS {c}_tscore" for c in scores.INDEX_CODES
+    )
+    stats = index.index_stats(raw)
+    names = ", ".join(f"(SELECT {c}_{what} FROM index_stats) AS {c}_{what}" for c in scores.INDEX_CODES for what in ("mean", "stddev", "min", "max"))
+    statement = f"SELECT snapshot_date, member_id, {scored} FROM (SELECT *, {names} FROM raw_scores)"
+    return in_sql(spark, statement, raw_scores=raw, index_stats=stats)
+
+
+@query
+def sql_persona_code(spark, sf_dir):
+    scored = index.unpivot_scores(_tscores(spark, sf_dir))
+    return in_sql(spark, "SELECT member_id, index_code, persona_code(index_code) AS persona_code FROM score_list", score_list=scored)
+
+
+@query
+def sql_usage_metrics(spark, sf_dir):
+    statement = f"""
+        SELECT member_id, round(CAST(share AS DOUBLE), 6) AS usage_ratio, usage_percent(share) AS current_data_usage_ratio,
+          usage_pattern(share) AS data_usage_pattern
+        FROM (SELECT member_id, usage_share(allowance_gb(data_amount), used_gb(usage_details)) AS share
+          FROM mobile LEFT JOIN (SELECT * FROM usage_monthly WHERE yyyymm = '{PARAMS.yyyymm}') USING (subscription_id))"""
+    return in_sql(spark, statement, mobile=mobile_plans(spark, sf_dir), usage_monthly=table(spark, sf_dir, "usage_monthly"))
+
+
+@query
+def sql_age_and_tenure(spark, sf_dir):
+    statement = f"""
+        SELECT member_id, age_group(birth_date, DATE '{AS_OF}') AS age_group, whole_months(CAST(start_date AS DATE), DATE '{AS_OF}') AS join_months
+        FROM member JOIN mobile USING (member_id)"""
+    return in_sql(spark, statement, member=table(spark, sf_dir, "member"), mobile=mobile_plans(spark, sf_dir))
+
+
+@query
+def sql_segment(spark, sf_dir):
+    tscores = ", ".join(f"{code}_tscore" for code in scores.UPSELL_TSCORES)
+    statement = f"""
+        SELECT member_id, segment_of(churn_tier, data_usage_pattern, upsell_tag_count(recent_viewed_tags_top_3), {tscores}) AS segment
+        FROM profiles LEFT JOIN newest_tscore USING (member_id)"""
+    newest = activity.latest_tscore(chained(spark, sf_dir)["index_tscore_snapshot"])
+    return in_sql(spark, statement, profiles=context(spark, sf_dir), newest_tscore=newest)
+
+
 # -- claim and dispatch -------------------------------------------------------------------------
 
 
@@ -642,6 +735,11 @@ def features_count(spark, sf_dir):
     return quality.check_not_empty(features(spark, sf_dir), AS_OF)
 
 
+@query
+def usage_amounts_check(spark, sf_dir):
+    return quality.check_usage_amounts(table(spark, sf_dir, "usage_monthly"), PARAMS.yyyymm)
+
+
 @query
 def context_check(spark, sf_dir):
     t = tables(spark, sf_dir, "subscription", "product")

@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from memberlytics.functions.numbers import EXPONENT_FORM, PLAIN_NUMBER, json_number, json_text
 from memberlytics.functions.scores import INDEX_CODES, SEGMENTS
 from memberlytics.operators.lookups import join_lookup
 
@@ -77,6 +78,18 @@ def check_not_empty(df: DataFrame, as_of: date) -> DataFrame:
     return _of_date(df, as_of).agg(*_named(row_counts()))
 
 
+def check_usage_amounts(usage_monthly: DataFrame, yyyymm: str) -> DataFrame:
+    """Usage documents of a month: all, those whose amount is a number, and numbers too large to be kept as one."""
+    rows = usage_monthly.where(F.col("yyyymm") == yyyymm).select("usage_details", json_text(F.col("usage_details"), "data_gb").alias("text"))
+    amount = json_number(F.col("usage_details"), "data_gb", text=F.col("text"))
+    number = F.col("text").rlike(PLAIN_NUMBER) | F.col("text").rlike(EXPONENT_FORM)
+    return rows.select("text", amount.alias("amount")).agg(
+        F.count(F.lit(1)).alias("document_count"),
+        F.count("amount").alias("amount_count"),
+        F.count_if(number & F.col("amount").isNull()).alias("too_large_count"),
+    )
+
+
 def eligible_count(subscription: DataFrame, product: DataFrame) -> DataFrame:
     """Members with any mobile plan subscription switched on."""
     plans = product.where(F.col("product_type") == "MOBILE_PLAN").select("product_id", F.lit(True).alias("is_plan"))

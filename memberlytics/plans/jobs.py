@@ -32,7 +32,7 @@ INDEX_EXTRA = ["persona_type"]
 
 def event_features_job(spark: SparkSession, root: str, store: str, snapshot_date: str | None = None) -> DataFrame:
     params = resolve_params(snapshot_date)
-    require_tables(spark, [EVENT_LOG], root)
+    require_tables(spark, _wanted("event_features", [FEATURES], [EVENT_LOG]), root)
     return run_event_features(spark, f"{root}/{EVENT_LOG}", store, params, incremental=True)
 
 
@@ -52,10 +52,11 @@ def member_context_job(
     snapshot_date: str | None = None,
     bound_to_as_of: bool = False,
     check: bool = True,
+    buckets: int | None = None,
 ) -> DataFrame:
     params = resolve_params(snapshot_date)
     tables = _inputs(spark, root, store, "member_context", [CONTEXT], [], list_all=True)
-    return run_member_context(tables, store, params, now, bound_to_as_of, check)
+    return run_member_context(tables, store, params, now, bound_to_as_of, check, buckets)
 
 
 def dispatch_job(
@@ -78,6 +79,11 @@ def dispatch_job(
     return run_stored_dispatch(read_table(spark, root, CASES), store, deliver, version=version, job=job, now=now, clock=clock, **settings)
 
 
+def _wanted(job: str, results: list[str], extra: list[str]) -> list[str]:
+    """What a job asks for at its start, but for the tables that it creates itself."""
+    return [name for name in [*REQUIRED_TABLES[job], *extra] if name not in results]
+
+
 def _inputs(
     spark: SparkSession,
     root: str,
@@ -87,7 +93,7 @@ def _inputs(
     extra: list[str],
     list_all: bool,
 ) -> dict[str, DataFrame]:
-    wanted = [name for name in [*REQUIRED_TABLES[job], *extra] if name not in results]
+    wanted = _wanted(job, results, extra)
     produced = [name for name in wanted if name in [FEATURES, *INDEX_TABLES]]
     require_tables(spark, [name for name in wanted if name not in produced], root, list_all)
     missing = [name for name in produced if not has_snapshots(spark, f"{store}/{name}")]

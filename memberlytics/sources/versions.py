@@ -12,10 +12,17 @@ Several dates of a table, or several tables of a folder, are replaced together:
 their pointers, so either all of them change or none does. Tables that change together have that
 file in `pointers` beside them, with their `name`. A part without a version has no rows. A note is
 what a writer wants to find again with the current version.
+
+A table with a row per key can be stored in buckets of that key. The note of such a version names its
+layout, and reading it goes through a catalog entry that any session can make again from the note, so
+joins and aggregates on the key find the rows of a bucket together and shuffle the other side only.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
 import tempfile
 import uuid
 from datetime import date
@@ -38,6 +45,13 @@ class Pointer(NamedTuple):
     note: str | None
 
 
+class Buckets(NamedTuple):
+    """Rows dealt into `count` files by a hash of `key`: for tables in which no key has many rows."""
+
+    key: str
+    count: int
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables, as named by `spark.checkpoint.dir`.
 
@@ -46,7 +60,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # `local-cluster[..]` has executors of its own.
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return _local_folder()
 
@@ -122,19 +137,42 @@ def _read_parts(spark: SparkSession, root: str, schema: T.StructType, paths: lis
     return reader.parquet(*paths).select(schema.names)
 
 
-def replace_table(df: DataFrame, root: str) -> DataFrame:
+def _catalog_name(path: str) -> str:
+    return f"bucketed_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+
+
+def _bucketed(spark: SparkSession, path: str, schema: T.StructType, buckets: Buckets) -> DataFrame:
+    """The files at `path` under a catalog entry that knows their layout."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    layout = f"CLUSTERED BY (`{buckets.key}`) SORTED BY (`{buckets.key}`) INTO {buckets.count} BUCKETS"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_catalog_name(path)} ({columns}) USING parquet {layout} LOCATION '{path}'")
+    return spark.table(_catalog_name(path)).select(schema.names)
+
+
+def replace_table(df: DataFrame, root: str, buckets: Buckets | None = None) -> DataFrame:
     """Make `df` the content of the table, and return it as stored.
 
     `df` may read the table's current version.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(_publish(df, root, WHOLE_TABLE))
+    spark = df.sparkSession
+    if buckets is None:
+        return spark.read.schema(df.schema).parquet(_publish(df, root, WHOLE_TABLE))
+    seq, version = _new_version([_current(spark, root)])
+    path = f"{root}/versions/version={version}"
+    dealt = df.write.format("parquet").option("path", path).bucketBy(buckets.count, buckets.key).sortBy(buckets.key)
+    dealt.saveAsTable(_catalog_name(path))
+    _point(spark, root, seq, [(WHOLE_TABLE, version, json.dumps(buckets._asdict()), None)])
+    return _bucketed(spark, path, df.schema, buckets)
 
 
 def read_replaced(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     current = _current(spark, root).get(WHOLE_TABLE)
     if current is None:
         return empty_table(spark, schema)
-    return spark.read.schema(schema).parquet(f"{root}/versions/version={current.version}")
+    path = f"{root}/versions/version={current.version}"
+    if current.note and current.note.startswith("{"):
+        return _bucketed(spark, path, schema, Buckets(**json.loads(current.note)))
+    return spark.read.schema(schema).parquet(path)
 
 
 def replace_tables(tables: dict[str, DataFrame], store: str, note: str | None = None) -> dict[str, DataFrame]:
@@ -178,10 +216,12 @@ def replace_snapshot_counted(df: DataFrame, root: str, as_of: date, counts: dict
     return replace_snapshot(rows, root, as_of), observation.get
 
 
-def replace_table_counted(df: DataFrame, root: str, counts: dict[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+def replace_table_counted(
+    df: DataFrame, root: str, counts: dict[str, Column], buckets: Buckets | None = None
+) -> tuple[DataFrame, dict[str, int]]:
     """`replace_table`, and `counts` of the rows it has written."""
     rows, observation = counted(df, counts)
-    return replace_table(rows, root), observation.get
+    return replace_table(rows, root, buckets), observation.get
 
 
 def replace_snapshots(df: DataFrame, root: str, notes: dict[date, str]) -> None:

@@ -137,3 +137,9 @@ def test_null_and_count_checks(spark):
     with pytest.raises(quality.CheckFailed):
         quality.require_index_counts(counts)
     quality.require_index_counts(quality.check_index_counts(spark.range(2), tscores, tscores, tscores, AS_OF))
+
+
+def test_usage_amounts_too_large_are_counted(spark):
+    texts = ['{"data_gb": 5}', '{"data_gb": "5.25"}', '{"data_gb": "n/a"}', "[]", None, '{"data_gb": "123456789012345"}', '{"data_gb": 1e30}', '{"data_gb": "12345678901234"}']
+    usage = frame(spark, "usage_monthly", [(k, "202312", text) for k, text in enumerate(texts)] + [(99, "202401", texts[5])])
+    assert tuple(quality.check_usage_amounts(usage, "202312").first()) == (8, 3, 2)

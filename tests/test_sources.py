@@ -3,7 +3,9 @@ from datetime import date
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from memberlytics.operators.merging import upsert_by_key
 from memberlytics.schemas import REQUIRED_TABLES, SCHEMAS
 from memberlytics.sources import event_logs, features_csv, messages, tables, versions
 
@@ -119,3 +121,74 @@ def test_message_sink(spark, tmp_path):
     messages.write_messages(messages.to_request_messages(targets), path)
     lines = [json.loads(line) for f in (tmp_path / "messages").glob("part-*") for line in f.read_text().splitlines()]
     assert len(lines) == 2 and json.loads(lines[0]["value"]) == {"dispatchRequestId": "k", "caseId": 1, "analyzerVersion": 2}
+
+
+def test_table_in_buckets(spark, tmp_path):
+    """A merge into a table stored in buckets shuffles the incoming rows only, in any session."""
+    root, schema = str(tmp_path / "profiles"), SCHEMAS["product"]
+    layout = versions.Buckets("product_id", 4)
+    rows = spark.range(2000).selectExpr("id AS product_id", "concat('n', id) AS name", "'IPTV' AS product_type")
+    versions.replace_table(rows, root, layout)
+    new = spark.range(1990, 2010).selectExpr("id AS product_id", "'new' AS name", "'ADDON' AS product_type")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for _ in range(2):
+            current = versions.read_replaced(spark, root, schema)
+            merged = upsert_by_key(current, new, ["product_id"])
+            plan = merged._jdf.queryExecution().executedPlan().toString()
+            scan = plan.index("FileScan parquet")
+            assert "SelectedBucketsCount: 4 out of 4" in plan or "Bucketed: true" in plan
+            # Between the stored rows and the join there is no exchange.
+            assert "Exchange" not in plan[plan.index("LeftAnti") : scan]
+            # Another session knows the files, not the catalog entry.
+            for table in spark.catalog.listTables():
+                if table.name.startswith("bucketed_"):
+                    spark.sql(f"DROP TABLE {table.name}")
+        stored, counts = versions.replace_table_counted(merged, root, {"n": F.count(F.lit(1))}, layout)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert counts == {"n": 2010} and stored.count() == 2010 and stored.where("name = 'new'").count() == 20
+    again = versions.read_replaced(spark, root, schema)
+    assert again.groupBy("product_id").count()._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
+    # Back to a plain table: the newest pointer decides.
+    versions.replace_table(again, root)
+    assert versions.read_replaced(spark, root, schema).count() == 2010
+
+
+def test_counts_are_those_of_the_rows_written(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    counts = {"row_count": F.count(F.lit(1)), "nulls": F.count_if(F.col("explore_raw").isNull())}
+    rows = snapshot(spark, AS_OF, 1, 2, 3).withColumn("explore_raw", F.when(F.col("member_id") > 1, F.col("explore_raw")))
+    kept, found = versions.replace_snapshot_counted(rows, root, AS_OF, counts)
+    assert found == {"row_count": 3, "nulls": 1} and kept.count() == 3
+    assert versions.replace_snapshot_counted(rows.limit(0), root, AS_OF, counts)[1] == {"row_count": 0, "nulls": 0}
+
+
+def test_several_dates_and_tables_change_in_one_commit(spark, tmp_path, monkeypatch):
+    root, day = str(tmp_path / "raw"), date(2024, 1, 16)
+    versions.replace_snapshot(snapshot(spark, BEFORE, 9), root, BEFORE)
+    both = snapshot(spark, AS_OF, 1, 2).unionByName(snapshot(spark, BEFORE, 3))
+    versions.replace_snapshots(both, root, {AS_OF: "a", BEFORE: "b", day: "none"})
+    assert stored(spark, root) == [(BEFORE, 3), (AS_OF, 1), (AS_OF, 2)]
+    assert versions.snapshot_notes(spark, root) == {AS_OF: "a", BEFORE: "b", day: "none"}
+    rows = versions.read_snapshots(spark, root, RAW, AS_OF, date(2024, 1, 24)).collect()
+    assert {r.snapshot_date for r in rows} == {AS_OF}
+    with pytest.raises(Exception, match="is dated"):
+        versions.replace_snapshots(both, root, {AS_OF: "c"})
+    store = str(tmp_path / "store")
+    one, two = spark.range(3), spark.range(5)
+    versions.replace_table(one, f"{store}/one")
+    kept = versions.replace_tables({"one": two, "two": one}, store, note="first")
+    assert kept["one"].count() == 5 and versions.read_replaced(spark, f"{store}/two", one.schema).count() == 3
+    assert versions.note_of(spark, f"{store}/one") == versions.note_of(spark, f"{store}/two") == "first"
+
+    def dies(*args):
+        raise OSError("gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "_point", dies)
+        with pytest.raises(OSError):
+            versions.replace_tables({"one": one, "two": two}, store)
+    assert versions.read_replaced(spark, f"{store}/one", one.schema).count() == 5
+    versions.replace_table(one, f"{store}/one")
+    assert versions.read_replaced(spark, f"{store}/one", one.schema).count() == 3
