@@ -19,7 +19,7 @@ decides only the threshold, never the score.
 
 Results in special cases: null and empty texts have the score of a text of padding only; texts
 of any length count whole; ids or labels that are null are not learned from; repeated rows are
-each scored; without labels of both classes every score is 0; extra columns, also of the names of
+each scored, and each count for a threshold; without labels of both classes every score is 0; extra columns, also of the names of
 labels, are ignored.
 """
 
@@ -211,7 +211,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
         yield from ((doc_id, label, word_ids(text).tobytes()) for doc_id, label, text in rows)
 
     hashed = map_rows(rows, rows_of, "doc_id bigint, label int, ids binary", ("doc_id", "label", "text"))
-    return [(row.doc_id, row.label, np.frombuffer(row.ids, np.int32)) for row in hashed.orderBy("doc_id", "label").collect()]
+    found = sorted((row.doc_id, row.label, row.ids) for row in hashed.collect())
+    return [(doc_id, label, np.frombuffer(ids, np.int32)) for doc_id, label, ids in found]
 
 
 def class_odds(labels: DataFrame) -> float:
@@ -241,8 +242,9 @@ def calibrate(labels: DataFrame, taught: list[int], scores: DataFrame) -> DataFr
     spark = labels.sparkSession
     clean = known_labels(labels).where("label = 0").select("doc_id")
     of_model = spark.createDataFrame([(i,) for i in taught], "doc_id bigint")
-    own = scores.join(clean.join(F.broadcast(of_model), "doc_id", "left_anti"), "doc_id").distinct()
+    own = scores.join(clean.join(F.broadcast(of_model), "doc_id", "left_anti"), "doc_id").select("lang", "score")
     columns = [F.count(F.lit(1)).alias("n"), F.percentile_approx("score", 1 - CLEAN_LOSS, RANKS).alias("score")]
+    own = cut(own, "calibrating")
     found = [(None, row) for row in own.agg(*columns).collect()]
     found += [(row.lang, row) for row in own.where("lang IS NOT NULL").groupBy("lang").agg(*columns).where(F.col("n") >= LEAST).collect()]
     # Just over that score, so equals of it stay; never under one half: a score that says "clean" rejects nothing.
