@@ -149,3 +149,15 @@ def running_totals(values: Column) -> Column:
 def hex64(value: Column) -> Column:
     """A long as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(value), 16, "0"))
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of ASCII `text` as DuckDB SQL, by the usual table of bytes."""
+    steps = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        steps.append(byte)
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    update = f"xor({steps}[(xor(crc, code) & 255) + 1], crc >> 8)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda crc, code: {update}), 4294967295)"

@@ -42,7 +42,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from memberlytics.llm.common import cut, map_rows, partitions, table
+from memberlytics.llm.common import crc32_sql, cut, map_rows, partitions, table
 from memberlytics.sources.versions import shared_folder
 
 RUN = 3
@@ -278,3 +278,69 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/manifest-{uuid.uuid4().hex}"
     write_manifest(table(spark, sf_dir, "documents"), folder, leaf_digest(columns))
     return verify(proofs(spark, folder))
+
+
+def tree_sql(name: str, leaves: str, levels: int) -> str:
+    """CTEs of the levels of all trees of `leaves` (tree, pos, digest): `name`_k with the number of nodes in the tree, and
+    `name`_top. A tree with one node stays as it is."""
+    ctes = [f"{name}_0 AS (SELECT *, count(*) OVER (PARTITION BY tree) AS nodes FROM {leaves})"]
+    for k in range(levels):
+        ctes.append(
+            f"""{name}_{k + 1} AS (
+  SELECT *, count(*) OVER (PARTITION BY tree) AS nodes FROM (
+    SELECT tree, pos // {RUN} AS pos, CASE WHEN any_value(nodes) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+    FROM {name}_{k} GROUP BY tree, pos // {RUN}))"""
+        )
+    return ",\n".join([*ctes, f"{name}_top AS (SELECT tree, digest FROM {name}_{levels} WHERE nodes = 1)"])
+
+
+def climb_sql(name: str, source: str, tree: str, levels: int) -> str:
+    """CTEs that take rows (r, tree, pos, folded, siblings) of `source` up the levels: `name`_k."""
+    ctes, below = [], source
+    for k in range(levels):
+        others = f"FILTER (WHERE n.pos <> b.pos // {RUN**k})"
+        ctes.append(
+            f"""{name}_{k + 1} AS (
+  SELECT b.r, b.tree, b.pos,
+    CASE WHEN any_value(n.nodes) = 1 THEN b.folded
+      ELSE sha256(string_agg(CASE WHEN n.pos = b.pos // {RUN**k} THEN b.folded ELSE n.digest END, '' ORDER BY n.pos)) END AS folded,
+    b.siblings || coalesce(string_agg(n.digest, '' ORDER BY n.pos) {others}, '') AS siblings
+  FROM {below} b JOIN {tree}_{k} n ON n.tree = b.tree AND n.pos // {RUN} = b.pos // {RUN ** (k + 1)}
+  GROUP BY b.r, b.tree, b.pos, b.folded, b.siblings)"""
+        )
+        below = f"{name}_{k + 1}"
+    return ",\n".join(ctes)
+
+
+def oracle(levels: int = 10) -> str:
+    """The query in SQL, for sources (and as many sources) of up to RUN ** `levels` documents."""
+
+    def leaf(text: str) -> str:
+        values = {**{name: name for name in COLUMNS}, "text": text}
+        fields = [f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')" for v in values.values()]
+        return f"sha256({' || '.join(fields)})"
+
+    picked = f"coalesce({crc32_sql('CAST(doc_id AS VARCHAR)')} % 2 = 0, false)"
+    return f"""
+WITH hashed AS (
+  SELECT doc_id, coalesce('1' || source, '0') AS tree, {leaf('text')} AS digest,
+    {leaf(f"(CASE WHEN {picked} THEN replace(text, chr(10), '') ELSE text END)")} AS claim
+  FROM documents),
+docs AS (
+  SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos FROM hashed),
+leaves AS (SELECT tree, pos, digest FROM docs),
+{tree_sql("t", "leaves", levels)},
+tops AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, digest, tree AS name FROM t_top),
+top_leaves AS (SELECT tree, pos, digest FROM tops),
+{tree_sql("u", "top_leaves", levels)},
+claims AS (SELECT r, tree, pos, claim AS folded, '' AS siblings FROM docs),
+{climb_sql("c", "claims", "t", levels)},
+up AS (SELECT r, '' AS tree, tops.pos, folded, siblings FROM c_{levels} JOIN tops ON tops.name = c_{levels}.tree),
+{climb_sql("v", "up", "u", levels)}
+SELECT doc_id, docs.digest AS leaf, t_top.digest AS subroot, u_top.digest AS root, sha256(siblings) AS proof_sha256, folded AS folded_root,
+  folded = u_top.digest AS verified
+FROM docs JOIN v_{levels} USING (r) JOIN t_top ON t_top.tree = docs.tree JOIN u_top ON true
+"""
+
+
+ORACLE = oracle()

@@ -32,7 +32,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from memberlytics.llm.common import map_rows, table
+from memberlytics.llm.common import crc32_sql, map_rows, table
 
 MIN_LENGTH = 6
 MIN_PERIODS = 4
@@ -311,3 +311,32 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     result = "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string"
     return map_rows(table(spark, sf_dir, "documents"), rows_of, result)
+
+
+# Equal words of a document in all pairs, so for tables of moderate size only.
+ORACLE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    {crc32_sql("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+e AS (SELECT *, len(w) AS n, h // 10 AS g, coalesce(h % 10 = 0, false) AND len(w) > 0 AS changed FROM d),
+f AS (SELECT *, CASE WHEN changed THEN g % n END AS a FROM e),
+k AS (SELECT *, CASE WHEN changed THEN 1 + (n - a) // (3 + g % 8) END AS p FROM f),
+words AS (
+  SELECT r, n, i, w[1 + CASE WHEN changed AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM k)),
+pairs AS (
+  SELECT x.r, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // {MIN_PERIODS}),
+stretches AS (
+  SELECT r, q, min(i) AS s, count(*) + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS stretch FROM pairs)
+  GROUP BY r, q, stretch HAVING count(*) + q >= greatest({MIN_LENGTH}, {MIN_PERIODS} * q)),
+runs AS (SELECT r, s, length, min(q) AS q FROM stretches GROUP BY r, s, length),
+listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+    first({{'s': s, 'length': length, 'q': q}} ORDER BY length DESC, s, q) AS top FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + length)) AS i FROM runs),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY words.i) FILTER (WHERE gone.i IS NULL) AS left_over FROM words LEFT JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(top.s AS BIGINT) AS start, CAST(top.length AS BIGINT) AS length, CAST(top.q AS BIGINT) AS period,
+  CAST(1000 * top.length // top.q AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(left_over, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)
+"""

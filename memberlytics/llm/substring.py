@@ -207,3 +207,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, a, md5(array_to_string(list_slice(w, a, a + {WINDOW - 1}), ' ')) AS h
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS a FROM d WHERE doc_id IS NOT NULL)),
+firsts AS (SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT r, unnest(range(a, a + {WINDOW})) AS p FROM windows JOIN firsts USING (h) WHERE first_id < doc_id),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+left_over AS (
+  SELECT r, count(gone.p) AS n_removed, string_agg(word, ' ' ORDER BY words.p) FILTER (WHERE gone.p IS NULL) AS kept
+  FROM words LEFT JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_over USING (r)
+"""
