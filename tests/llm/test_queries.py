@@ -41,7 +41,7 @@ def test_query(spark, sf_dir, name):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     assert rows
     if per_document:
-        assert Counter(r.doc_id for r in rows) == Counter(docs)
+        assert Counter(r.doc_id for r in rows) == Counter(list(docs))
     if name == "op6_toxicity":
         for r in rows:
             assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == (r.score >= 0.7)
