@@ -119,6 +119,30 @@ def test_token_ids(spark, docs, rows, nothing, tmp_path):
     assert repair.read_shards(spark, f"{tmp_path}/none").count() == 0
 
 
+@pytest.mark.parametrize("kind, name", [(encoders.byte_pieces, "byte_bpe_50k.json"), (encoders.word_pieces, "word_bpe_49k.json")])
+def test_encoders_that_forget(monkeypatch, kind, name):
+    """With room for few pieces, and texts that share some, ids stay those of plain calls."""
+    monkeypatch.setattr(encoders, "MEMO", 60)
+    monkeypatch.setattr(encoders, "LONGEST", 5)
+    rng = random.Random(14)
+    encoder = kind.__wrapped__(encoders.default_path(name))
+    for _ in range(12):
+        texts = [" ".join(rng.choices(["the", "The,", "cat", "verylongword", "x1", "é!", "don't", ""], k=9)) + f" w{rng.randrange(99)}" for _ in range(20)]
+        assert encoder.encode(texts) == encoder.whole(texts)
+        assert len(encoder.memo) == encoder.store.n <= 60 + 200 and all(len(piece) <= 5 for piece in encoder.memo)
+
+
+def test_pairs_are_found_with_and_without_a_table(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids = np.concatenate([rng.integers(1, 9, 4000), np.full(50, 7), [1]]).astype(np.uint32)
+    by_table = repair.compress(ids)
+    monkeypatch.setattr(repair, "TABLE", 0)
+    by_search = repair.compress(ids)
+    assert all(np.array_equal(a, b) for a, b in zip(by_table, by_search, strict=True)) and len(by_table[1])
+    with pytest.raises(ValueError, match="room for those below"):
+        repair.compress(np.array([5, repair.FIRST_NONTERMINAL], np.uint32))
+
+
 def test_repair_round_trip_and_random_access():
     rng = np.random.default_rng(0)
     held = [(i, np.append(rng.integers(1, 30, size=rng.integers(0, 300)), 1).astype("<u4")) for i in range(300)]
