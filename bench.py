@@ -93,12 +93,16 @@ def main() -> None:
         consume(drained.analyses)
         consume(drained.outbox)
 
+    daily = f"{work}/daily"
+    run_event_features(spark, log, daily, run_of(AS_OF), incremental=True)
+
     timed = {
         "p1_event_features": lambda: run_event_features(spark, log, fresh(), run_of(AS_OF)),
         "p2_weekly_index": lambda: run_weekly_index(index_tables, fresh(), run_of(AS_OF)),
         "p3_member_context": lambda: run_member_context(everything, fresh(), run_of(AS_OF), NOW, check=False),
         "p4_drain_dispatch": drain,
         "event_features": lambda: consume(events.build_event_features(scan(), AS_OF)),
+        "features_from_daily_sums": lambda: run_event_features(spark, log, daily, run_of(AS_OF), incremental=True),
         "top_tags": lambda: consume(events.top_tags(events.tag_counts(scan(), AS_OF))),
         "active_subscriptions": lambda: consume(active()),
         "raw_snapshot": lambda: consume(index.build_raw_snapshot(index_tables, run_of(AS_OF))),
