@@ -17,6 +17,8 @@ from memberlytics.sources.versions import materialize
 
 # Rows that a task hands back to Spark at a time.
 OUT_ROWS = 50_000
+# Rows that a Python process gets at a time: the default suits narrow rows, not whole texts.
+ARROW_ROWS, DEFAULT_ROWS, IN_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"
 ARROW = {
     "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float": pa.float32(), "boolean": pa.bool_(),
     "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
@@ -45,8 +47,11 @@ def _ship(application: str) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python processes this package, once per application, as `--py-files` would."""
+    """Give the Python processes this package, once per application, as `--py-files` would, and batches of a size
+    that suits texts, unless the session has a size of its own."""
     _ship(spark.sparkContext.applicationId)
+    if spark.conf.get(ARROW_ROWS, DEFAULT_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(ARROW_ROWS, IN_ROWS)
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
