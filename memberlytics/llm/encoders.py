@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # Characters, and texts, worked on at a time; a longer text is worked on alone.
-CHARACTERS = 2_000_000
+CHARACTERS = 1_000_000
 TEXTS = 4_096
 # Pieces that a process remembers at most, and the longest one that it does. When there are more, the half that
 # fewer calls have met is forgotten.
