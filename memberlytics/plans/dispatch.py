@@ -11,7 +11,7 @@ A stored drain keeps a journal, so that one that dies is finished by the next st
     store/dispatch_runs/journal/*.json           a line when picks and seeds are complete, another when the run has ended
 
 Requests with a recorded answer are not sent again; those of the wave that died may be, under the same
-ids. Analyses and outbox change in one commit at the end of a run, which names the run.
+ids: `wave_rounds` rounds at most, or one of MAX_WAVES parts of the run if that is more. Analyses and outbox change in one commit at the end of a run, which names the run.
 """
 
 from __future__ import annotations
@@ -51,8 +51,10 @@ RESULTS = "request_id string, ok boolean, error string"
 PICKS = "analysis_id bigint, case_id bigint, analyzer_version bigint, request_id string, claim_token bigint"
 JOURNAL = "run string, job bigint, now timestamp_ntz, first_token bigint, rounds bigint, max_attempts int, ended boolean"
 RUNS = "dispatch_runs"
-# Rounds whose answers are recorded together: what a drain that dies may send twice at most.
+# Rounds whose answers are recorded together, and the waves a drain has at most: each costs a few Spark jobs whatever
+# its size, so a drain of more rounds than both together has longer waves.
 WAVE_ROUNDS = 100
+MAX_WAVES = 16
 
 
 @dataclass(frozen=True)
@@ -159,11 +161,17 @@ def begin_run(
         picked = picked.unionByName(claimed_seeds)
         rounds = -(-(shift + n_unseeded) // chunk) if n_unseeded else rounds
 
-    picked.repartition("request_id").write.parquet(f"{folder}/picks")
+    _write_picks(picked, f"{folder}/picks")
     seeded.write.parquet(f"{folder}/seeds")
     return Run(folder, job, now, first_token, rounds, max_attempts)
 
 
+def _write_picks(picked: DataFrame, path: str) -> None:
+    """In the order of their rounds, so that a wave opens its own part of the files; the id splits large rounds."""
+    order = ["claim_token", "analysis_id"]
+    picked.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+
+
 def _recorded(spark: SparkSession, run: Run) -> DataFrame | None:
     try:
         return spark.read.schema(RESULTS).parquet(f"{run.folder}/results")
@@ -174,22 +182,29 @@ def _recorded(spark: SparkSession, run: Run) -> DataFrame | None:
 
 
 def finish_run(analyses: DataFrame, outbox: DataFrame, run: Run, deliver: Deliver, wave_rounds: int | None = None) -> Drained:
-    """Send what has no recorded answer, wave by wave (all rounds in one unless told), and merge."""
+    """Send what has no recorded answer, wave by wave, and merge.
+
+    A wave takes `wave_rounds` rounds (all unless told), or more where that would make over MAX_WAVES waves.
+    """
     spark = analyses.sparkSession
     picks = spark.read.schema(PICKS).parquet(f"{run.folder}/picks")
     seeded = spark.read.schema(SCHEMAS[ANALYSES]).parquet(f"{run.folder}/seeds")
     before = _recorded(spark, run)
-    skipped = before.select("request_id").distinct().count() if before is not None else 0
-
-    step = wave_rounds or max(run.rounds, 1)
-    for first in range(0, max(run.rounds, 1), step):
-        low = run.first_token + first
-        wave = picks.where((F.col("claim_token") >= low) & (F.col("claim_token") < low + step))
-        if before is not None:
-            wave = wave.join(before.select("request_id"), "request_id", "left_anti")
-            if wave.isEmpty():
-                continue
-        answers = deliver(to_request_messages(wave)).select("request_id", "ok", "error")
+    step = max(wave_rounds or run.rounds, -(-run.rounds // MAX_WAVES), 1)
+    place = F.col("claim_token") - run.first_token
+
+    if before is None:
+        skipped, open_picks, waves = 0, picks, range(-(-max(run.rounds, 1) // step))
+    else:
+        skipped = before.select("request_id").distinct().count()
+        path = f"{run.folder}/open-{uuid.uuid4().hex}"
+        _write_picks(picks.join(before.select("request_id"), "request_id", "left_anti"), path)
+        open_picks = spark.read.schema(PICKS).parquet(path)
+        found = open_picks.select(F.floor(place / step).alias("wave")).distinct()
+        waves = sorted(row["wave"] for row in found.collect())
+    for wave in waves:
+        due = open_picks.where((F.col("claim_token") >= run.first_token + wave * step) & (F.col("claim_token") < run.first_token + (wave + 1) * step))
+        answers = deliver(to_request_messages(due)).select("request_id", "ok", "error")
         answers.write.mode("append").parquet(f"{run.folder}/results")
     results = spark.read.schema(RESULTS).parquet(f"{run.folder}/results")
     tally = results.select(F.count_if("ok").alias("published"), F.count_if(~F.col("ok")).alias("retried")).first()

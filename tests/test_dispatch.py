@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from memberlytics.operators import dispatch as d
-from memberlytics.plans.dispatch import ANALYSES, OUTBOX, run_dispatch, run_stored_dispatch
+from memberlytics.plans.dispatch import ANALYSES, MAX_WAVES, OUTBOX, run_dispatch, run_stored_dispatch
 from memberlytics.schemas import SCHEMAS
 from memberlytics.sources.messages import to_request_messages
 from memberlytics.sources import versions
@@ -256,6 +256,21 @@ def test_a_drain_that_dies_is_finished_without_sending_twice(spark, tmp_path):
     assert (third.published, third.retried, third.skipped) == (0, 0, 0)
 
 
+def test_a_stored_drain_has_a_bounded_number_of_waves(spark, tmp_path):
+    """One wave for each of 40 rounds would be 40 deliveries."""
+    settings = {"version": 1, "job": 8, "now": NOW, "chunk": 1, "wave_rounds": 1}
+    store, broker = str(tmp_path), Broker(breaks=(3,))
+    replace_table(analyses(spark, range(20)), f"{store}/{ANALYSES}")
+    with pytest.raises(ConnectionError):
+        run_stored_dispatch(cases(spark, range(40)), store, broker, **settings)
+    assert [len(wave) for wave in broker.sent] == [3, 3]
+    finished = run_stored_dispatch(cases(spark, range(40)), store, broker, **settings)
+    keys = [key for wave in broker.sent for key in wave]
+    assert len(keys) == len(set(keys)) == 40 == finished.published + finished.retried
+    # The broken call, and one empty wave of the drain that follows the finished one.
+    assert broker.calls <= MAX_WAVES + 2
+
+
 @pytest.mark.parametrize("dies_at", ["tables", "end"])
 def test_analyses_and_outbox_change_together(spark, tmp_path, monkeypatch, dies_at):
     store = str(tmp_path)
