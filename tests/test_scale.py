@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from checks import inputs
 from checks.inputs import AS_OF, NOW
 from checks.staging import EVENT_LOG, stage, staged
 from memberlytics.operators import activity, dispatch, events, index, lookups
@@ -132,3 +133,19 @@ def test_measured_bytes(spark):
 def test_snapshot_date_is_a_literal(spark, root):
     counts = events.event_counts(scan_event_logs(spark, f"{root}/{EVENT_LOG}", date(2024, 1, 16)), date(2024, 1, 16))
     assert {r.snapshot_date for r in counts.collect()} == {date(2024, 1, 16)}
+
+
+def test_subscriptions_are_built_once_by_tasks_of_bounded_size(spark, sf_dir, tmp_path, monkeypatch):
+    """More line items make more tasks, not larger ones, and what is built is read again by later queries."""
+    data = tmp_path / "data"
+    data.mkdir()
+    for name in inputs.DRIVER_TABLES:
+        (data / f"{name}.parquet").symlink_to(f"{sf_dir}/{name}.parquet")
+    expected = inputs.table(spark, sf_dir, "subscription")
+    many = 2 * spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(inputs, "TASK_ROWS", -(-inputs.table(spark, sf_dir, "lineitem").count() // many))
+    built = inputs.table(spark, str(data), "subscription")
+    assert len(built.inputFiles()) == many
+    assert sorted(map(str, built.collect())) == sorted(map(str, expected.collect()))
+    again = inputs.table(spark, str(data), "usage_monthly")
+    assert set(again.inputFiles()) == set(built.inputFiles())
