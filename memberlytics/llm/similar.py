@@ -1,15 +1,16 @@
 """Near duplicates of a similarity of 0.8 or more by SimHash (the stage form of operator 8).
 
 Two documents are near duplicates if the Jaccard similarity of their sets of five-word shingles is
-SIMILARITY or more. SimHash fingerprints of such pairs differ in up to about 15 of 64 bits, far over
-the three bits of operator 8, so neither its blocks of bits nor a BK-tree (which at that radius
-visits every point) can find them. What changes here is how fingerprints meet and are searched:
-
-1. Documents with equal shingle sets are one node.
-2. A node goes to BANDS shards, each named by ROWS minima of its permuted shingle hashes. A pair of
-   similarity 0.8 shares a shard with a probability of 0.996, one of 0.85 with 0.9997.
+SIMILARITY or more. Their SimHash fingerprints meet in two ways:
+
+1. Documents with equal shingle sets are one node. Fingerprints within the three bits of operator 8 are found
+   as there, by BK-trees in the shards of agreeing blocks, whose links are candidates.
+2. SimHash fingerprints of such pairs differ in up to about 15 of 64 bits, where neither blocks of bits nor a
+   BK-tree (which at that radius visits every point) leave anything out. For these a node also goes to BANDS
+   shards, each named by ROWS minima of its permuted shingle hashes. A pair of similarity 0.8 shares a shard
+   with a probability of 0.996, one of 0.85 with 0.9997.
 3. In a shard FORESTS minimum spanning forests of Hamming distances up to RADIUS, without common edges,
-   give first candidates: for each member its nearest ones, and at most FORESTS pairs per member instead
+   give more candidates: for each member its nearest ones, and at most FORESTS pairs per member instead
    of all. Large shards are searched in pairs of chunks.
 4. Candidates are confirmed on the whole texts by exact Jaccard similarity; components follow.
 5. Shards whose members are not all connected by then are searched on the whole texts: each member meets
@@ -35,7 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from memberlytics.llm.common import cut, map_rows
-from memberlytics.llm.simhash import CHUNK, SEED, components, in_chunks, majority
+from memberlytics.llm.simhash import CHUNK, SEED, BKTree, components, in_chunks, majority, shard_keys
+from memberlytics.llm.simhash import RADIUS as TREE_RADIUS
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -112,8 +114,43 @@ def nodes(docs: DataFrame) -> DataFrame:
     return map_rows(signed, rows_of, "doc_id bigint, sign bigint, node string, fp bigint, size int, bands array<bigint>", ("doc_id", "text", "sign"))
 
 
+def tree_edges(points: list[int]) -> Iterator[tuple[int, int]]:
+    """Links within TREE_RADIUS bits that connect all linked `points` (signed, distinct), near ones first."""
+    tree, parent = BKTree(), list(range(len(points)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for at, point in enumerate(points):
+        bits = point & (1 << 64) - 1
+        for _, other in sorted(((tree.points[j] ^ bits).bit_count(), j) for j in tree.within(bits, TREE_RADIUS)):
+            if root(other) != root(at):
+                parent[root(other)] = root(at)
+                yield points[other], point
+        tree.add(bits)
+
+
+def tree_pairs(distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Pairs (`a`, `b`) of nodes whose fingerprints are equal or linked by the BK-trees of operator 8."""
+    heads = distinct.groupBy("fp").agg(F.min("node").alias("head"))
+    sharded = heads.select("fp", F.explode(shard_keys()).alias("key"))
+
+    def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for _, group in groupby(rows, key=lambda row: row[:3]):
+            yield from tree_edges([row[3] for row in group])
+
+    linked = map_rows(in_chunks(sharded, chunk), rows_of, "x bigint, y bigint", ("key", "i", "j", "fp")).distinct()
+    ends = linked.join(heads.toDF("x", "a"), "x").join(heads.toDF("y", "b"), "y").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    equal = distinct.join(heads, "fp").where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    return ends.unionAll(equal)
+
+
 def candidates(distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Pairs (`a`, `b`) of nodes worth comparing, from `node`, `fp`, `size`, `bands`."""
+    """Pairs (`a`, `b`) of nodes worth comparing, from `node`, `fp`, `size`, `bands`: those of the BK-trees, and
+    those of the shards of minima for what is further apart."""
 
     def rows_of(rows: Iterator[tuple]) -> Iterator[tuple]:
         for _, group in groupby(rows, key=lambda row: row[:3]):
@@ -123,7 +160,8 @@ def candidates(distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
                 yield tuple(sorted((members[i][5], members[j][5])))
 
     sharded = distinct.select("fp", "size", "node", F.explode("bands").alias("key"))
-    return map_rows(in_chunks(sharded, chunk), rows_of, "a string, b string", ("key", "i", "j", "fp", "size", "node")).distinct()
+    further = map_rows(in_chunks(sharded, chunk), rows_of, "a string, b string", ("key", "i", "j", "fp", "size", "node"))
+    return tree_pairs(distinct, chunk).unionAll(further).distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -97,6 +97,25 @@ def test_large_shards_are_searched_in_pairs_of_chunks(spark):
     assert parts(sorted(pairs)) == parts(sorted(near))
 
 
+@pytest.mark.parametrize("chunk", [4, 2048])
+def test_bk_trees_propose_fingerprints_within_three_bits(spark, chunk):
+    """Nodes that share no shard of minima: what is proposed comes from the trees, and connects all links."""
+    rng = random.Random(6)
+    base = [rng.getrandbits(64) for _ in range(20)]
+    points = [b ^ sum(1 << bit for bit in rng.sample(range(64), n)) for b in base for n in (0, 0, 1, 2, 3, 9)]
+    rows = [(p - (1 << 64) if p >> 63 else p, f"{i:03d}", 9, [i]) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "fp bigint, node string, size int, bands array<bigint>")
+    pairs = {(r.a, r.b) for r in similar.candidates(df, chunk).collect()}
+    near = {
+        (f"{i:03d}", f"{j:03d}") for i, j in itertools.combinations(range(len(points)), 2) if (points[i] ^ points[j]).bit_count() <= 3
+    }
+    label = {node: node for _, node, _, _ in rows}
+    for _ in rows:
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    assert near and pairs <= near and all(label[a] == label[b] for a, b in near)
+
+
 def test_spanning_forests_are_minimal_and_disjoint():
     points, sizes = np.array([0, 1, 3, (1 << 40) - 1, 1 << 39, 0], np.uint64), np.full(6, 10)
     edges = list(similar.spanning_forests(points, sizes, forests=1))
