@@ -300,13 +300,16 @@ def word_pieces(path: str) -> WordPieces:
     return WordPieces(path)
 
 
-def encoded(rows: Iterable[tuple], encoder: Pieces) -> Iterator[tuple]:
-    """(doc_id, text) rows to (doc_id, ids), so many at a time that new pieces share a call."""
+def encoded(rows: Iterable[tuple], encoder: Pieces, characters: int = CHARACTERS) -> Iterator[tuple]:
+    """(doc_id, text) rows to (doc_id, ids), so many at a time that new pieces share a call.
+
+    More `characters` at a time take more memory and less time, as fewer pieces are met again in later calls.
+    """
     held, size = [], 0
     for doc_id, text in rows:
         held.append((doc_id, text or ""))
         size += len(held[-1][1])
-        if size >= CHARACTERS or len(held) >= TEXTS:
+        if size >= characters or len(held) >= TEXTS:
             yield from zip((doc_id for doc_id, _ in held), encoder.encode([text for _, text in held]), strict=True)
             held, size = [], 0
     if held:

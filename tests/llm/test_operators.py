@@ -570,3 +570,16 @@ def test_nearest_neighbours(spark, nothing):
     assert neighbours.nearest(few, few).count() == 2
     none = df.where("vec_id < 0")
     assert neighbours.nearest(none, none).count() == 0
+
+
+def test_texts_encoded_at_a_time_are_up_to_the_caller():
+    class Noting:
+        calls = []
+
+        def encode(self, texts):
+            self.calls.append(len(texts))
+            return texts
+
+    rows = [(i, "x" * 300_000) for i in range(14)]
+    assert list(encoders.encoded(rows, Noting(), repair.CHARACTERS)) == rows
+    assert Noting.calls == [7, 7]
