@@ -1,17 +1,18 @@
 """Memoized use of public tokenizers.
 
-Both vocabularies here never join text across a space, so a text's ids are those of its pieces
-between spaces. Many texts are cut and their distinct pieces numbered at a time, in Arrow; a Python
-process remembers the ids of pieces it has met, gives the tokenizer only new ones, all in one call,
-and gathers the ids of all texts by places. `tests/llm` holds the results against plain calls.
+Neither vocabulary here joins text across a space before a word, around a single line end, or between a
+letter or digit and a sign after it, so a text's ids are those of the pieces between these places. Many texts
+are cut, in numpy over their bytes, and their distinct pieces numbered at a time, in Arrow; a Python process
+remembers the ids of pieces it has met, gives the tokenizer only new ones, as few calls as can be, and gathers
+the ids of all texts by places. `tests/llm` holds the results against plain calls.
 """
 
 from __future__ import annotations
 
 import os
+import string
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +26,14 @@ TEXTS = 4_096
 # fewer calls have met is forgotten.
 MEMO = 1_000_000
 LONGEST = 64
-SIGNS = ".,;:!?"
-# Letters, of which each alphabet here makes a word of its own, and a sign after them.
-SIMPLE = rf"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<sign>[{SIGNS}]?)$"
+SPACE, LINE_END, LATIN = 0x20, 0x0A, 0xC3
+SIGNS = np.isin(np.arange(256), list(string.punctuation.encode()))
+# ASCII letters and digits, and the second bytes of Latin-1 letters, whose first one is LATIN.
+ALNUM = np.array([chr(byte).isascii() and chr(byte).isalnum() for byte in range(256)])
+LATIN_TAILS = np.array([byte in range(0x80, 0xC0) and byte not in (0x97, 0xB7) for byte in range(256)])
+# Letters, of which each alphabet here makes a word of its own.
+LETTERS = r"^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+
 
 
 def default_path(name: str) -> str:
@@ -83,6 +89,84 @@ class Store:
         return gather(self.flat, self.starts[numbers], sizes), sizes
 
 
+class Memo:
+    """Numbers of pieces: short ones by their bytes, found through sorted hashes, longer ones in a dictionary."""
+
+    SHORT = 15
+    MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+    def __init__(self) -> None:
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        # Bytes and length of the short pieces, in the order they came, and their numbers.
+        self.keys, self.numbers, self.long = np.zeros((0, 2), np.uint64), np.zeros(0, np.int64), {}
+
+    def __len__(self) -> int:
+        return len(self.numbers) + len(self.long)
+
+    def __iter__(self) -> Iterator[str]:
+        for key in self.keys:
+            data = key.astype("<u8").tobytes()
+            yield data[: data[self.SHORT]].decode()
+        yield from self.long
+
+    @classmethod
+    def keys_of(cls, pieces: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """16 bytes for each piece, the last one its length, and which pieces are too long for that."""
+        _, offsets, data = pieces.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(pieces) + 1, 8 * pieces.offset)
+        data = np.concatenate((np.frombuffer(data or b"", np.uint8)[: offsets[-1]], np.zeros(16, np.uint8)))
+        words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+        sizes = np.minimum(np.diff(offsets), cls.SHORT + 1)
+        low = words[offsets[:-1]] & cls.MASKS[np.minimum(sizes, 8)]
+        high = words[offsets[:-1] + 8] & cls.MASKS[np.clip(sizes - 8, 0, 7)]
+        return np.column_stack((low, high | sizes.astype(np.uint64) << np.uint64(56))), sizes > cls.SHORT
+
+    @staticmethod
+    def hashed(keys: np.ndarray) -> np.ndarray:
+        mixed = keys[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ keys[:, 1] * np.uint64(0xC2B2AE3D27D4EB4F)
+        mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        return mixed ^ mixed >> np.uint64(32)
+
+    def find(self, pieces: pa.LargeStringArray) -> np.ndarray:
+        """Numbers of pieces, -1 for unknown ones."""
+        keys, long = self.keys_of(pieces)
+        numbers = np.full(len(pieces), -1, np.int64)
+        if len(self.hashes):
+            hashes = self.hashed(keys)
+            order = np.argsort(hashes)
+            near = np.minimum(np.searchsorted(self.hashes, hashes[order]), len(self.hashes) - 1)
+            place = self.places[near]
+            # A piece is known by all its bytes, the hash only says where to look.
+            same = (self.keys[place] == keys[order]).all(axis=1) & ~long[order]
+            numbers[order[same]] = self.numbers[place[same]]
+        at = np.flatnonzero(long)
+        for i, piece in zip(at.tolist(), pieces.take(pa.array(at)).to_pylist(), strict=True):
+            numbers[i] = self.long.get(piece, -1)
+        return numbers
+
+    def add(self, pieces: pa.LargeStringArray, numbers: np.ndarray) -> None:
+        """Note unknown, different pieces."""
+        keys, long = self.keys_of(pieces)
+        at = np.flatnonzero(long)
+        self.long.update(zip(pieces.take(pa.array(at)).to_pylist(), numbers[at].tolist(), strict=True))
+        self.add_short(keys[~long], numbers[~long])
+
+    def add_short(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        hashes = self.hashed(keys)
+        order = np.argsort(hashes)
+        where = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, where, hashes[order])
+        self.places = np.insert(self.places, where, len(self.keys) + order)
+        self.keys, self.numbers = np.concatenate((self.keys, keys)), np.concatenate((self.numbers, numbers))
+
+    def kept(self, renumbered: np.ndarray) -> Memo:
+        """A memo of the pieces whose number has a new one, which is not negative, in `renumbered`."""
+        memo, numbers = Memo(), renumbered[self.numbers]
+        memo.add_short(self.keys[numbers >= 0], numbers[numbers >= 0])
+        memo.long = {piece: int(renumbered[n]) for piece, n in self.long.items() if renumbered[n] >= 0}
+        return memo
+
+
 class Pieces:
     """`encode(texts)`: the ids of whole texts as little-endian unsigned 32-bit integers."""
 
@@ -91,19 +175,9 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
-        self.memo: dict[str, int] = {}
-        self.store = Store()
-        # Pieces that stay: the empty one, then each sign alone.
-        self.remember(["", *SIGNS], *self.joined([b"", *self.whole(list(SIGNS))]))
-
-    def numbers_of(self, pieces: list[str]) -> np.ndarray:
-        """Numbers of pieces, -1 for unknown ones."""
-        return np.fromiter(map(self.memo.get, pieces, repeat(-1)), np.int64, len(pieces))
-
-    def remember(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        numbers = self.store.add(ids, sizes)
-        self.memo.update(zip(pieces, numbers.tolist(), strict=True))
-        return numbers
+        self.memo, self.store = Memo(), Store()
+        # The empty piece, number 0, stays.
+        self.memo.add(pa.array([""], pa.large_string()), self.store.add(*self.joined([b""])))
 
     @staticmethod
     def joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -114,104 +188,105 @@ class Pieces:
         return [as_bytes(e.ids) for e in encoded]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [not any(s in text for s in self.special) for text in texts]
         array = pa.array(texts, pa.large_string())
-        fits = np.array(plain, bool) & self.cuttable(array)
+        # Also where only a change of case makes a special token: cutting may change it.
+        fits = np.ones(len(texts), bool)
+        for special in self.special:
+            fits &= ~pc.match_substring(array, special, ignore_case=True).to_numpy(zero_copy_only=False)
         out: list[bytes | None] = [None] * len(texts)
         places = np.flatnonzero(fits)
         if len(places):
-            cut = self.cut(array.take(pa.array(places)))
-            for place, ids in zip(places.tolist(), self.encode_cut(cut), strict=True):
+            pieces, ends = self.cut(array.take(pa.array(places)))
+            for place, ids in zip(places.tolist(), self.encode_cut(pieces, ends), strict=True):
                 out[place] = ids
         return [self.whole([text])[0] if ids is None else ids for text, ids in zip(texts, out, strict=True)]
 
-    def encode_cut(self, cut: pa.ListArray) -> list[bytes | None]:
-        """Ids of texts given as lists of pieces; None where a new piece does not stand for itself."""
-        ends = cut.offsets.to_numpy()
-        numbered = cut.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
-        at, distinct = numbered.indices.to_numpy(zero_copy_only=False), numbered.dictionary.to_pylist()
-        numbers = self.numbers_of(distinct)
-        kept, fresh = self.store.n, []
+    def folded(self, data: np.ndarray) -> np.ndarray:
+        """Bytes of texts that give the same ids."""
+        return data
+
+    def cut(self, texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """The pieces of all texts, one after the other, and the places among them where texts begin and end."""
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(texts) + 1, 8 * texts.offset)
+        data = self.folded(np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]])
+        offsets = offsets - offsets[0]
+        inner = np.unique(offsets)
+        first, last = inner[:-1], inner[1:] - 1
+        solid = data > SPACE
+        after = np.append(solid[1:], False)
+        after[last] = False
+        before = np.insert(solid[:-1], 0, False) if len(data) else solid
+        before[first] = False
+        line_end = np.flatnonzero((data == LINE_END) & before & after)
+        sign = np.flatnonzero(SIGNS[data] & before)
+        word = data[sign - 1]
+        sign = sign[ALNUM[word] | LATIN_TAILS[word] & (data[sign - 2] == LATIN)]
+        begins = (data == SPACE) & after
+        for at in (first, line_end, line_end + 1, sign):
+            begins[at] = True
+        starts = np.flatnonzero(begins)
+        bounds = np.append(starts, len(data)).astype(np.int64)
+        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data))
+        return pieces, np.searchsorted(starts, offsets)
+
+    def encode_cut(self, pieces: pa.LargeStringArray, ends: np.ndarray) -> list[bytes | None]:
+        """Ids of texts given as pieces and their ends; None where a new piece does not stand for itself."""
+        numbered = pieces.dictionary_encode()
+        at, distinct = numbered.indices.to_numpy(zero_copy_only=False), numbered.dictionary
+        numbers = self.memo.find(distinct)
+        kept = self.store.n
         new = np.flatnonzero(numbers < 0)
-        odd = self.uncertain(distinct, new.tolist())
+        fresh = distinct.take(pa.array(new)).to_pylist()
+        odd = self.uncertain(fresh)
         if odd:
-            new = new[~np.isin(new, odd)]
-        if len(new):
-            pieces = [distinct[i] for i in new.tolist()]
-            numbers[new] = self.encode_new(pieces, fresh)
-            fresh += pieces
-        bad = np.zeros(len(cut), bool)
-        if odd:
-            text_of = np.repeat(np.arange(len(cut)), np.diff(ends))
+            fresh = [piece for i, piece in enumerate(fresh) if i not in odd]
+            odd, new = new[sorted(odd)], np.delete(new, sorted(odd))
+        if fresh:
+            numbers[new] = self.encode_new(fresh)
+        bad = np.zeros(len(ends) - 1, bool)
+        if len(odd):
+            text_of = np.repeat(np.arange(len(bad)), np.diff(ends))
             bad[text_of[np.isin(at, odd)]] = True
             numbers[odd] = 0  # the empty piece: these texts are encoded whole
         ids, sizes = self.store.get(numbers[at])
-        total = np.concatenate(([0], np.cumsum(sizes)))[ends - ends[0]].tolist()
+        total = np.concatenate(([0], np.cumsum(sizes)))[ends].tolist()
         data = ids.astype("<u4", copy=False).tobytes()
         self.store.meet(numbers)
-        if len(new) and pc.max(pc.utf8_length(numbered.dictionary.take(pa.array(new)))).as_py() > LONGEST:
-            self.forget_long(kept, fresh)
+        if fresh:
+            self.remember(kept, distinct, new[np.fromiter(map(len, fresh), np.int64, len(fresh)) <= LONGEST], numbers)
         if self.store.n > MEMO:
             self.forget_half()
         return [None if b else data[4 * i : 4 * j] for b, i, j in zip(bad.tolist(), total[:-1], total[1:], strict=True)]
 
-    def forget_long(self, kept: int, fresh: list[str]) -> None:
-        """Take back those of the newest pieces (from number `kept` on) that are too long to be remembered."""
-        fresh = list(dict.fromkeys(fresh))
-        stay = [piece for piece in fresh if len(piece) <= LONGEST]
-        ids, sizes = self.store.get(np.array([self.memo[piece] for piece in stay], np.int64))
-        for piece in fresh:
-            del self.memo[piece]
-        self.store.cut_back(kept)
-        self.remember(stay, ids, sizes)
+    def remember(self, kept: int, distinct: pa.LargeStringArray, stay: np.ndarray, numbers: np.ndarray) -> None:
+        """Of the newest pieces (from number `kept` on), keep those at the places `stay` of `distinct`."""
+        mine = numbers[stay]
+        if len(stay) < self.store.n - kept:
+            ids, sizes, met = *self.store.get(mine), self.store.met[mine]
+            self.store.cut_back(kept)
+            mine = self.store.add(ids, sizes)
+            self.store.met[mine] = met
+        self.memo.add(distinct.take(pa.array(stay)), mine)
 
     def forget_half(self) -> None:
-        """Keep the pieces that most calls have met, and those that always stay."""
-        pieces, met = list(self.memo), self.store.met
-        numbers = np.fromiter(self.memo.values(), np.int64, len(pieces))
-        order = np.argsort(-met[numbers], kind="stable")
-        stay = np.sort(np.concatenate((np.flatnonzero(numbers <= len(SIGNS)), order[numbers[order] > len(SIGNS)][: MEMO // 2])))
-        ids, sizes = self.store.get(numbers[stay])
-        before = met[numbers[stay]] // 2
-        self.memo, self.store = {}, Store()
-        numbers = self.remember([pieces[i] for i in stay.tolist()], ids, sizes)
-        self.store.met[numbers] = before
-
-    def encode_new(self, new: list[str], fresh: list[str]) -> np.ndarray:
-        """Numbers of new pieces; those of letters and a sign by their letters, which may be known. Letters that
-        are not are remembered too, and appended to `fresh`."""
-        found = pc.extract_regex(pa.array(new, pa.large_string()), SIMPLE)
-        simple = found.is_valid().to_numpy(zero_copy_only=False)
-        sizes, ids = np.zeros(len(new), np.int64), []
-        held = found.filter(pa.array(simple))
-        letters = self.key(held.field("letters")).dictionary_encode()
-        cores = letters.dictionary.to_pylist()
-        core_numbers = self.numbers_of(cores)
-        missing = np.flatnonzero(core_numbers < 0)
-        if len(missing):
-            words = [cores[i] for i in missing.tolist()]
-            core_numbers[missing] = self.remember(words, *self.encode_words(words))
-            fresh += words
-        signs = held.field("sign").dictionary_encode()
-        sign_numbers = np.array([self.memo[sign] for sign in signs.dictionary.to_pylist()], np.int64)
-        # A piece is its letters and its sign, one after the other.
-        pairs = np.column_stack(
-            (core_numbers[letters.indices.to_numpy(zero_copy_only=False)], sign_numbers[signs.indices.to_numpy(zero_copy_only=False)])
-        ) if len(held) else np.zeros((0, 2), np.int64)
-        simple_ids, simple_sizes = self.store.get(pairs.ravel())
-        other = [piece for piece, easy in zip(new, simple.tolist(), strict=True) if not easy]
-        other_ids, other_sizes = self.joined(self.encode_others(other))
-        numbers = np.empty(len(new), np.int64)
-        at = np.flatnonzero(simple)
-        pieces = [new[i] for i in at.tolist()]
-        # New letters without a sign have their number already.
-        known = self.numbers_of(pieces)
-        numbers[at] = known
-        rest = np.flatnonzero(known < 0)
-        sizes = simple_sizes.reshape(-1, 2).sum(axis=1)
-        starts = np.cumsum(sizes) - sizes
-        numbers[at[rest]] = self.remember([pieces[i] for i in rest.tolist()], gather(simple_ids, starts[rest], sizes[rest]), sizes[rest])
-        numbers[~simple] = self.remember(other, other_ids, other_sizes)
+        """Keep the pieces that most calls have met, and the empty one."""
+        n, met = self.store.n, self.store.met[: self.store.n]
+        stay = np.sort(np.concatenate(([0], 1 + np.argsort(-met[1:], kind="stable")[: MEMO // 2])))
+        ids, sizes = self.store.get(stay)
+        renumbered = np.full(n, -1, np.int64)
+        self.store = Store()
+        renumbered[stay] = self.store.add(ids, sizes)
+        self.store.met[: len(stay)] = met[stay] // 2
+        self.memo = self.memo.kept(renumbered)
+
+    def encode_new(self, new: list[str]) -> np.ndarray:
+        """Numbers of new pieces: those of a kind are encoded in one call, the others each for itself."""
+        kinds, numbers = self.kinds(new), np.empty(len(new), np.int64)
+        for kind in np.unique(kinds).tolist():
+            at = np.flatnonzero(kinds == kind)
+            pieces = [new[i] for i in at.tolist()]
+            numbers[at] = self.store.add(*(self.encode_kind(kind, pieces) if kind else self.joined(self.whole(pieces))))
         return numbers
 
     def sizes_at(self, at: np.ndarray, n_ids: int, pieces: list[str]) -> np.ndarray:
@@ -222,44 +297,29 @@ class Pieces:
 
 
 class BytePieces(Pieces):
-    """Byte-level BPE: a space belongs to the piece after it, and no id spans its front.
-
-    The first piece of a text, without a space before it, is marked by "\0".
-    """
+    """Byte-level BPE: a space belongs to the word after it, and no id spans its front."""
 
     def __init__(self, path: str) -> None:
         super().__init__(path)
-        # The byte-level alphabet writes a space as U+0120.
-        self.opens = np.array([name.startswith("Ġ") for name in self.names])
-
-    def key(self, letters: pa.Array) -> pa.Array:
-        return letters
-
-    def cuttable(self, texts: pa.Array) -> np.ndarray:
-        # Runs of white space are cut by what follows them: leave such texts whole.
-        odd = pc.match_substring_regex(texts, "^$|^ | $|  |\x00")
-        return ~odd.to_numpy(zero_copy_only=False)
+        # The byte-level alphabet writes a space as U+0120, a line end as U+010A.
+        self.opens = [np.array([name.startswith(sign) for name in self.names]) for sign in "ĠĊ"]
 
-    def cut(self, texts: pa.Array) -> pa.ListArray:
-        return pc.split_pattern(pc.binary_join_element_wise(pa.scalar("\0", pa.large_string()), texts, pa.scalar("", pa.large_string())), " ")
+    def uncertain(self, pieces: list[str]) -> set[int]:
+        """Which of the new pieces begin with white space beyond ASCII, which the piece before may take."""
+        first = (piece.lstrip(" ")[:1] for piece in pieces)
+        return {i for i, sign in enumerate(first) if sign > "\x7f" and sign.isspace()}
 
-    def uncertain(self, pieces: list[str], new: list[int]) -> list[int]:
-        """Which of the new pieces begin with white space that the piece before may take."""
-        return [i for i in new if pieces[i][0].isspace() or pieces[i][0] == "\0" and pieces[i][1].isspace()]
+    def kinds(self, pieces: list[str]) -> np.ndarray:
+        """1: one space, in front; 2: no white space; 0: others."""
+        return np.array([1 if p[0] == " " and p.count(" ") == 1 else 2 if p.split() == [p] else 0 for p in pieces])
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.frombuffer(self.whole([" " + " ".join(words)])[0], "<u4")
-        return ids, self.sizes_at(np.flatnonzero(self.opens[ids]), len(ids), words)
-
-    def encode_others(self, others: list[str]) -> list[bytes]:
-        heads = [p for p in others if p[:1] == "\0"]
-        spaced = [p for p in others if p[:1] != "\0"]
-        done = dict(zip(heads, self.whole([p[1:] for p in heads]), strict=True))
-        if spaced:
-            ids, sizes = self.encode_words(spaced)
-            ends = np.cumsum(sizes).tolist()
-            done.update((p, ids[end - size : end].tobytes()) for p, end, size in zip(spaced, ends, sizes.tolist(), strict=True))
-        return [done[p] for p in others]
+    def encode_kind(self, kind: int, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        text = "".join(pieces) if kind == 1 else "\n" + "\n".join(pieces)
+        ids = np.frombuffer(self.whole([text])[0], "<u4")
+        opens = self.opens[kind - 1][ids]
+        sizes = self.sizes_at(np.flatnonzero(opens), len(ids), pieces)
+        # The line ends before pieces without white space are not theirs.
+        return (ids, sizes) if kind == 1 else (ids[~opens], sizes - 1)
 
 
 class WordPieces(Pieces):
@@ -269,25 +329,23 @@ class WordPieces(Pieces):
         super().__init__(path)
         self.ends = np.array([name.endswith("</w>") for name in self.names])
 
-    def key(self, letters: pa.Array) -> pa.Array:
-        return pc.utf8_lower(letters)
-
-    def cuttable(self, texts: pa.Array) -> np.ndarray:
-        return np.ones(len(texts), bool)
+    def folded(self, data: np.ndarray) -> np.ndarray:
+        """ASCII capitals in lower case, but before what may be a mark that combines with one of the cases only."""
+        capital = (data >= ord("A")) & (data <= ord("Z"))
+        capital[:-1] &= (data[1:] < 0x80) | (data[1:] == LATIN)
+        return np.where(capital, data | 0x20, data)
 
-    def cut(self, texts: pa.Array) -> pa.ListArray:
-        return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+    def uncertain(self, pieces: list[str]) -> set[int]:
+        return set()
 
-    def uncertain(self, pieces: list[str], new: list[int]) -> list[int]:
-        return []
+    def kinds(self, pieces: list[str]) -> np.ndarray:
+        """1: one word of letters; 0: others."""
+        return pc.match_substring_regex(pa.array(pieces, pa.large_string()), LETTERS).to_numpy(zero_copy_only=False).astype(int)
 
-    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.frombuffer(self.whole([" ".join(words)])[0], "<u4")
+    def encode_kind(self, kind: int, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.frombuffer(self.whole([" ".join(pieces)])[0], "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
-        return ids, self.sizes_at(np.concatenate(([0], ends[:-1])), len(ids), words)
-
-    def encode_others(self, others: list[str]) -> list[bytes]:
-        return self.whole(others)
+        return ids, self.sizes_at(np.concatenate(([0], ends[:-1])), len(ids), pieces)
 
 
 @cache

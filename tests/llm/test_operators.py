@@ -583,3 +583,29 @@ def test_texts_encoded_at_a_time_are_up_to_the_caller():
     rows = [(i, "x" * 300_000) for i in range(14)]
     assert list(encoders.encoded(rows, Noting(), repair.CHARACTERS)) == rows
     assert Noting.calls == [7, 7]
+
+
+@pytest.mark.parametrize("kind, name", [(encoders.byte_pieces, "byte_bpe_50k.json"), (encoders.word_pieces, "word_bpe_49k.json")])
+def test_known_words_are_not_encoded_again_beside_signs_and_line_ends(monkeypatch, kind, name):
+    encoder = kind.__wrapped__(encoders.default_path(name))
+    encoder.encode(["the horse\nhorse"])
+    plain, given = encoder.whole, []
+    monkeypatch.setattr(encoder, "whole", lambda texts: given.extend(texts) or plain(texts))
+    texts = ["the horse###\nhorse, horse!!\nhorse.the horse"]
+    assert encoder.encode(texts) == plain(texts)
+    assert given and not any("horse" in text for text in given)
+
+
+@pytest.mark.parametrize("kind, name", [(encoders.byte_pieces, "byte_bpe_50k.json"), (encoders.word_pieces, "word_bpe_49k.json")])
+@pytest.mark.parametrize("one_hash", [False, True])
+def test_encoders_on_any_mixture_of_signs(monkeypatch, kind, name, one_hash):
+    """White space, marks that combine with capitals, signs and special tokens anywhere; pieces whose hashes are equal."""
+    monkeypatch.setattr(encoders, "MEMO", 200)
+    if one_hash:
+        monkeypatch.setattr(encoders.Memo, "hashed", staticmethod(lambda keys: np.zeros(len(keys), np.uint64)))
+    rng, encoder = random.Random(3), kind.__wrapped__(encoders.default_path(name))
+    parts = [*"aTé É  \n\n\t\r.,!;|×ª12~\0", "'s", "the", "<|endoftext|>", "<|ENDOFTEXT|>", "fifteen bytes ab sixteen", "日本", "🙂"]
+    parts += [chr(n) for n in (0x331, 0x308, 0x338, 0x5B0, 0xA0, 0x85, 0x2003, 0x200B, 0x3000, 0x1C, 0x130, 0xFB01)]
+    for _ in range(40):
+        texts = ["".join(rng.choices(parts, k=rng.randrange(25))) + f" w{rng.randrange(10**rng.randrange(20))}" for _ in range(25)]
+        assert encoder.encode(texts) == encoder.whole(texts)
