@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from checks.inputs import AS_OF, NOW
+from checks.queries import QUERIES
 from checks.staging import EVENT_LOG, stage, staged
-from memberlytics.operators import activity, dispatch, events, index, lookups
+from memberlytics.operators import activity, dispatch, events, index, lookups, profile
 from memberlytics.params import RunParams
 from memberlytics.schemas import SCHEMAS
 from memberlytics.sources.event_logs import day_signs, scan_event_days, scan_event_logs
@@ -149,3 +150,20 @@ def test_subscriptions_are_built_once_by_tasks_of_bounded_size(spark, sf_dir, tm
     assert sorted(map(str, built.collect())) == sorted(map(str, expected.collect()))
     again = inputs.table(spark, str(data), "usage_monthly")
     assert set(again.inputFiles()) == set(built.inputFiles())
+
+
+def test_profile_goes_through_subscriptions_once(spark, root):
+    """Rows and usage share the stored plans, and the joins of the features run in a stage without that aggregate."""
+    t = staged(spark, root)
+    t["user_event_features_7d"] = spark.createDataFrame([], SCHEMAS["user_event_features_7d"])
+    for name in ("index_persona_snapshot", "index_tscore_snapshot"):
+        t[name] = spark.createDataFrame([], SCHEMAS[name])
+    found = scans(plan_of(profile.build_member_context(t, RunParams(AS_OF, "202312"), NOW)))
+    assert not [scan for scan in found if f"{root}/subscription" in scan]
+    assert len([scan for scan in found if "profile-plans" in scan]) == 2
+
+
+def test_merged_profiles_are_stored_first(spark, sf_dir):
+    """The merge of two dates is one join of stored profiles: no stage holds the operators of several profiles."""
+    plan = plan_of(QUERIES["context_upsert"](spark, sf_dir))
+    assert plan.count("Join") == 1 and "LeftAnti" in plan and "Window" not in plan
