@@ -47,3 +47,18 @@ def test_repeated_keys(spark):
     for merged in (merging.upsert_by_key(current, twice, ["k"]), merging.upsert_columns(current, twice, "k", ["a"], {})):
         with pytest.raises(Exception, match="DuplicateKeys"):
             merged.collect()
+
+
+def test_upsert_shuffles_no_incoming_rows(spark, tmp_path):
+    """That keys are unique is judged by the keys alone: the rows of a stored update are not sorted or moved for it."""
+    current = table(spark, [(1, "old", "x", 1)])
+    spark.range(50).selectExpr("id AS k", "'new' AS a", "repeat('y', 9) AS b", "1 AS n").write.parquet(f"{tmp_path}/new")
+    spark.range(2).selectExpr("CAST(NULL AS BIGINT) AS k", "'new' AS a", "'y' AS b", "1 AS n").write.parquet(f"{tmp_path}/null")
+    merged = merging.upsert_by_key(current, spark.read.parquet(f"{tmp_path}/new"), ["k"])
+    assert "Window" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert merged.count() == 50 and merged.where("a = 'new'").count() == 50
+    twice = spark.read.parquet(f"{tmp_path}/new", f"{tmp_path}/new")
+    for updates in (twice, spark.read.parquet(f"{tmp_path}/null")):
+        for stored in (current, current.limit(0)):
+            with pytest.raises(Exception, match="DuplicateKeys"):
+                merging.upsert_by_key(stored, updates, ["k"]).collect()
