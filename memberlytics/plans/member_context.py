@@ -34,7 +34,7 @@ def run_member_context(
     spark = tables["member"].sparkSession
     root = f"{store}/{TABLE}"
     # Written once: the uniqueness check and both sides of the merge read it.
-    built = materialize(build_member_context(tables, params, now, bound_to_as_of), TABLE)
+    built = materialize(build_member_context(tables, params, now, bound_to_as_of, store_plans=True), TABLE)
     require_unique(built, ["member_id"])
 
     current = read_replaced(spark, root, SCHEMAS[TABLE])

@@ -158,7 +158,7 @@ def test_profile_goes_through_subscriptions_once(spark, root):
     t["user_event_features_7d"] = spark.createDataFrame([], SCHEMAS["user_event_features_7d"])
     for name in ("index_persona_snapshot", "index_tscore_snapshot"):
         t[name] = spark.createDataFrame([], SCHEMAS[name])
-    found = scans(plan_of(profile.build_member_context(t, RunParams(AS_OF, "202312"), NOW)))
+    found = scans(plan_of(profile.build_member_context(t, RunParams(AS_OF, "202312"), NOW, store_plans=True)))
     assert not [scan for scan in found if f"{root}/subscription" in scan]
     assert len([scan for scan in found if "profile-plans" in scan]) == 2
 
