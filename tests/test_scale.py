@@ -10,7 +10,7 @@ from checks import inputs
 from checks.inputs import AS_OF, NOW
 from checks.queries import QUERIES
 from checks.staging import EVENT_LOG, stage, staged
-from memberlytics.operators import activity, dispatch, events, index, lookups, profile
+from memberlytics.operators import activity, dispatch, events, index, lookups, profile, subscriptions
 from memberlytics.params import RunParams
 from memberlytics.schemas import SCHEMAS
 from memberlytics.sources.event_logs import day_signs, scan_event_days, scan_event_logs
@@ -167,3 +167,19 @@ def test_merged_profiles_are_stored_first(spark, sf_dir):
     """The merge of two dates is one join of stored profiles: no stage holds the operators of several profiles."""
     plan = plan_of(QUERIES["context_upsert"](spark, sf_dir))
     assert plan.count("Join") == 1 and "LeftAnti" in plan and "Window" not in plan
+
+
+def test_many_documents_and_rows_meet_hashed_plans(spark):
+    """Joins by subscription and by product sort no side: the smaller one, with a row per key, is hashed."""
+    plans = spark.createDataFrame([(1, 10, "MOBILE_PLAN", "5GB"), (2, 20, "MOBILE_PLAN", "6GB"), (3, 30, "IPTV", None), (4, None, "MOBILE_PLAN", "6GB")], "member_id bigint, subscription_id bigint, product_type string, data_amount string")
+    text = """'{"data_gb": 3, "tethering_sharing_data_gb": "2"}' AS usage_details"""
+    usage = spark.range(100).selectExpr("CASE WHEN id < 99 THEN id END AS subscription_id", "'202312' AS yyyymm", text)
+    used = profile.usage_metrics(plans, usage, "202312")
+    shared = subscriptions.sharing_used(plans, usage, "202312")
+    served = lookups.join_lookup(usage, plans.select("subscription_id", "data_amount").where("subscription_id IS NOT NULL"), "subscription_id", "left", spread_by="yyyymm", max_bytes=0)
+    for df in (used, shared, served):
+        plan = plan_of(df)
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted((r.member_id, r.current_data_usage_ratio) for r in used.collect()) == [(1, 60), (2, 50), (3, None), (4, None)]
+    assert sorted(map(tuple, shared.collect())) == [(1, 2.0), (2, 2.0)]
+    assert served.count() == 100 and served.where("data_amount IS NOT NULL").count() == 2
